@@ -32,7 +32,9 @@ def _ratio_udf():
             out[i] = matcher.ratio()
         return pd.Series(out)
 
-    return F.pandas_udf(ratios, T.DoubleType())
+    # Not deterministic in Spark's terms: otherwise a filter on the ratio is evaluated early,
+    # on pairs that are not distinct yet, and once more for the column.
+    return F.pandas_udf(ratios, T.DoubleType()).asNondeterministic()
 
 
 def ratio(site_name: Column, register_name: Column) -> Column:
@@ -53,29 +55,23 @@ def edit_similarity(a: Column, b: Column) -> Column:
     )
 
 
-def count_masks(name: Column) -> dict[str, Column]:
-    """Character counts of a name as four longs, plus the number of characters left out.
+def count_masks(name: str) -> tuple[dict[str, Column], Column]:
+    """Character counts of column ``name`` as four longs, and the number of characters left out.
 
     A character seen n times sets its n lowest bits, so the characters two names
-    share are the bits common to both. Counts above six and other characters go to
-    ``over``, which can only raise the bound.
+    share are the bits common to both. Counts above six and other characters are
+    left out of the masks; counting them as shared can only raise the bound. The second
+    expression reads the masks as columns.
     """
-    counts = {}
-    for symbol in SYMBOLS:
-        seen = F.length(name) - F.length(F.replace(name, F.lit(symbol), F.lit("")))
-        counts[symbol] = F.least(seen, F.lit(_BITS))
-    masks = {}
+    masks, held = {}, []
     for start in range(0, len(SYMBOLS), _PER_LONG):
-        packed = F.lit(0).cast("bigint")
+        packed = []
         for slot, symbol in enumerate(SYMBOLS[start : start + _PER_LONG]):
-            ones = F.call_function("shiftleft", F.lit(1).cast("bigint"), counts[symbol]) - F.lit(1)
-            packed = packed.bitwiseOR(F.shiftleft(ones, slot * _BITS))
-        masks[f"m{start // _PER_LONG}"] = packed
-    held = F.lit(0)
-    for column in counts.values():
-        held = held + column
-    masks["over"] = F.length(name) - held
-    return masks
+            seen = f"least(length({name}) - length(replace({name}, '{symbol}', '')), {_BITS})"
+            packed.append(f"shiftleft(shiftleft(1L, {seen}) - 1L, {slot * _BITS})")
+        masks[f"m{start // _PER_LONG}"] = F.expr(" + ".join(packed))
+        held += [f"bit_count(m{start // _PER_LONG})"]
+    return masks, F.expr(f"length({name}) - ({' + '.join(held)})")
 
 
 MASKS = [f"m{i}" for i in range((len(SYMBOLS) + _PER_LONG - 1) // _PER_LONG)]

@@ -33,44 +33,55 @@ from firmweave.functions.similarity import (
     shared_characters,
 )
 
-BUCKETS = 4096
+BUCKETS = 1024
 # Tokens of one kind that may meet in one task, on either side.
 GROUP_ROWS = 100_000
 
 
 @dataclass(frozen=True)
 class Measure:
-    """What a similarity floor implies for a pair of lengths."""
+    """What a similarity floor implies for a pair of lengths.
+
+    ``least`` is the least number of matched characters, as a real number that is
+    the sum (or maximum) of one stored value per side: integers are compared
+    with it directly, so the join condition needs no rounding and no division.
+    """
 
     name: str
     floor: float
 
-    def matched(self, a: Column, b: Column) -> Column:
-        """Least number of matched characters."""
-        base = (a + b) / 2 if self.name == "ratio" else F.greatest(a, b)
-        return F.ceil(base * F.lit(self.floor) - F.lit(EPSILON)).cast("int")
-
-    def gaps(self, a: Column, b: Column) -> Column:
-        """Most places where the matched characters can be interrupted."""
+    def stored(self, length: Column) -> Column:
+        """The value a row keeps for ``least``."""
+        return length * F.lit(self.floor / 2 if self.name == "ratio" else self.floor)
+
+    def least(self, left: str, right: str) -> Column:
+        a, b = F.col(f"{left}.part"), F.col(f"{right}.part")
+        total = a + b if self.name == "ratio" else F.greatest(a, b)
+        return total - F.lit(EPSILON)
+
+    def may_match(self, left: str, right: str, q: int) -> Column:
+        """Lengths, positions and ranks of a shared token that a matching pair can have."""
+        a, b = F.col(f"{left}.len"), F.col(f"{right}.len")
+        least = self.least(left, right)
+        ahead = F.col(f"{left}.pos") - F.col(f"{right}.pos")
+        # Characters left unmatched on a side limit how far tokens can drift apart.
         if self.name == "ratio":
-            return a + b - 2 * self.matched(a, b)
-        return F.greatest(a, b) - self.matched(a, b)
-
-    def shift(self, a: Column, b: Column) -> Column:
-        """How far right a matched character of ``a`` can stand of its partner in ``b``."""
-        return a - self.matched(a, b) if self.name == "ratio" else self.gaps(a, b)
-
-    def need(self, a: Column, b: Column, q: int) -> Column:
-        return self.matched(a, b) - (q - 1) * (1 + self.gaps(a, b))
+            drift = (ahead <= a - least) & (-ahead <= b - least)
+            need = (2 * q - 1) * least - (q - 1) * (1 + a + b)
+        else:
+            longer = F.greatest(a, b)
+            drift = F.abs(ahead) <= longer - least
+            need = q * least - (q - 1) * (1 + longer)
+        ranks = (F.col(f"{left}.rank") <= a - (q - 1) - need) & (F.col(f"{right}.rank") <= b - (q - 1) - need)
+        return (a >= least) & (b >= least) & drift & ranks
 
-    def lengths_fit(self, a: Column, b: Column) -> Column:
-        low, high = F.least(a, b), F.greatest(a, b)
-        if self.name == "ratio":
-            return 2 * low >= F.lit(self.floor) * (a + b) - F.lit(EPSILON)
-        return low >= F.lit(self.floor) * high - F.lit(EPSILON)
+    def bound(self, shared: Column, left: str, right: str) -> Column:
+        """Upper bound of the similarity, given an upper bound of the shared characters."""
+        a, b = F.col(f"{left}.len"), F.col(f"{right}.len")
+        return 2 * shared / (a + b) if self.name == "ratio" else shared / F.greatest(a, b)
 
     def least_need(self, length: Column, q: int) -> Column:
-        """Lower bound of ``need`` over all partners whose length fits."""
+        """Lower bound, over all partners that fit, of the tokens a pair must share."""
         f = self.floor
         if self.name == "ratio":
             shortest = length * F.lit(1 + f / (2 - f))
@@ -139,7 +150,9 @@ def _fan_out(counts: list[int], group_rows: int) -> list[int]:
 
 def _prefix_rows(names: DataFrame, q: int, measure: Measure, order: list[int]) -> DataFrame:
     """One row for each token in the prefix of a name, with all that the join checks."""
-    measured = names.select("name", F.length("name").alias("len")).withColumns(count_masks(F.col("name")))
+    masks, over = count_masks("name")
+    measured = names.select("name", F.length("name").alias("len")).withColumns(masks).withColumn("over", over)
+    measured = measured.withColumn("part", measure.stored(F.col("len")))
     size = F.col("len") - (q - 1)
     positions = F.when(size >= 1, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
 
@@ -149,9 +162,13 @@ def _prefix_rows(names: DataFrame, q: int, measure: Measure, order: list[int]) -
 
     ordered = F.array_sort(F.transform(positions, token))
     taken = F.slice(ordered, F.lit(1), F.greatest(F.lit(0), size - measure.least_need(F.col("len"), q) + 1))
-    return measured.withColumn("_taken", taken).select(
-        "name", "len", *MASKS, "over", F.posexplode("_taken").alias("rank", "_t")
-    ).select("name", "len", *MASKS, "over", "rank", F.col("_t.token").alias("token"), F.col("_t.pos").alias("pos"))
+    # The outer form spares the filter that Spark would add, which sorts the tokens twice.
+    exploded = measured.withColumn("_taken", taken).select(
+        "name", "len", "part", *MASKS, "over", F.posexplode_outer("_taken").alias("rank", "_t")
+    )
+    return exploded.select(
+        "name", "len", "part", *MASKS, "over", "rank", F.col("_t.token").alias("token"), F.col("_t.pos").alias("pos")
+    ).filter(F.col("token").isNotNull())
 
 
 def _salts(rows: DataFrame, own: str, other: str, own_fan: list[int], other_fan: list[int]) -> DataFrame:
@@ -183,36 +200,27 @@ def candidate_pairs(
     register_fan = _fan_out(register_counts, group_rows)
     left = _salts(_prefix_rows(sites, q, measure, register_counts), "salt_s", "salt_r", site_fan, register_fan)
     right = _salts(_prefix_rows(register, q, measure, register_counts), "salt_r", "salt_s", register_fan, site_fan)
-    left, right = left.alias("s"), right.alias("r")
+    # A fixed number of tasks: partitions of few bytes can still mean many pairs, and AQE
+    # would merge them by bytes.
+    tasks = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["token", "salt_s", "salt_r"]
+    left, right = left.repartition(tasks, *keys).alias("s"), right.repartition(tasks, *keys).alias("r")
 
-    a, b = F.col("s.len"), F.col("r.len")
-    need = measure.need(a, b, q)
     shared = shared_characters("s", "r")
-    condition = (
-        (F.col("s.token") == F.col("r.token"))
-        & measure.lengths_fit(a, b)
-        & (F.col("s.pos") - F.col("r.pos") <= measure.shift(a, b))
-        & (F.col("r.pos") - F.col("s.pos") <= measure.shift(b, a))
-        & (F.col("s.rank") <= a - (q - 1) - need)
-        & (F.col("r.rank") <= b - (q - 1) - need)
-        & (shared >= measure.matched(a, b))
-    )
-    if max(site_fan) > 1 or max(register_fan) > 1:
-        condition = condition & (F.col("s.salt_s") == F.col("r.salt_s")) & (F.col("s.salt_r") == F.col("r.salt_r"))
+    condition = measure.may_match("s", "r", q) & (shared >= measure.least("s", "r"))
+    for key in keys:
+        condition = condition & (F.col(f"s.{key}") == F.col(f"r.{key}"))
     if first_letter:
         condition = condition & (F.left(F.col("s.name"), F.lit(1)) == F.left(F.col("r.name"), F.lit(1)))
-    if measure.name == "ratio":
-        bound = 2 * shared / (a + b)
-    else:
-        bound = shared / F.greatest(a, b)
     # The bound depends on the pair only, so repeated pairs are equal rows.
     return (
         left.join(right, condition, "inner")
         .select(
             F.col("s.name").alias("site_name"),
             F.col("r.name").alias("register_name"),
-            bound.alias("bound"),
+            measure.bound(shared, "s", "r").alias("bound"),
         )
+        .repartition(tasks, "site_name", "register_name")
         .distinct()
     )
 
