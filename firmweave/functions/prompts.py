@@ -54,14 +54,14 @@ def _candidate_text(candidate: Column, index: Column) -> Column:
         F.lit("\n   Type: "), field("entity_type"),
         F.lit("\n   State: "), field("state"),
         F.lit("\n   Address: "), F.left(field("full_address"), F.lit(_ADDRESS_CHARS)),
-        F.lit("\n   Similarity Score: "), candidate["shown"], F.lit("\n"),
+        F.lit("\n   Similarity Score: "), two_decimals(candidate["similarity"]), F.lit("\n"),
     )
 
 
 def match_prompt(
     website_url: Column, name: Column, industry: Column, context: Column, candidates: Column
 ) -> Column:
-    """Request text; ``candidates`` are structs with abn, entity_name, entity_type, state, full_address, shown."""
+    """Request text; ``candidates`` are structs with abn, entity_name, entity_type, state, full_address, similarity."""
     listed = F.array_join(F.transform(F.slice(candidates, 1, MAX_CANDIDATES), _candidate_text), "")
     return F.concat(
         F.lit(_OPENING + "\n\nWEBSITE INFORMATION:\n- URL: "), website_url,
@@ -74,34 +74,17 @@ def match_prompt(
 
 
 def with_match_prompt(df: DataFrame) -> DataFrame:
-    """Add ``prompt`` to rows that carry the site columns and a ``candidates`` array.
-
-    Scores are printed by their binary value, which takes a small Arrow function.
-    """
-    scores = [F.coalesce(F.get(F.col("candidates"), i)["similarity"], F.lit(0.0)) for i in range(MAX_CANDIDATES)]
-    shown = F.array(*[two_decimals(score) for score in scores])
-    staged = df.withColumn("_shown", shown)
-    listed = F.transform(
-        F.slice("candidates", 1, MAX_CANDIDATES),
-        lambda c, i: F.struct(
-            c["abn"].alias("abn"),
-            c["entity_name"].alias("entity_name"),
-            c["entity_type"].alias("entity_type"),
-            c["state"].alias("state"),
-            c["full_address"].alias("full_address"),
-            F.element_at(F.col("_shown"), i + 1).alias("shown"),
-        ),
-    )
-    return staged.withColumn(
+    """Add ``prompt`` to rows that carry the site columns and a ``candidates`` array."""
+    return df.withColumn(
         "prompt",
         match_prompt(
             F.col("website_url"),
             F.col("scraped_company_name"),
             F.col("scraped_industry"),
             F.col("html_content_snippet"),
-            listed,
+            F.col("candidates"),
         ),
-    ).drop("_shown")
+    )
 
 
 def parse_match_answer(answer: Column, min_confidence: float = MIN_CONFIDENCE) -> Column:
@@ -111,7 +94,8 @@ def parse_match_answer(answer: Column, min_confidence: float = MIN_CONFIDENCE) -
     """
     found = F.regexp_extract(answer, r"\{[^{}]*\}", 0)
     said = F.from_json(found, "matched_abn string, confidence string, reasoning string")
-    abn, confidence = strip(said["matched_abn"]), F.least(said["confidence"].try_cast("double"), F.lit(1.0))
+    abn, stated = strip(said["matched_abn"]), said["confidence"].try_cast("double")
+    confidence = F.when(stated > 1, F.lit(1.0)).otherwise(stated)
     none = said["matched_abn"].isin("null", "no_match", "")
     result = F.struct(
         abn.alias("matched_abn"),

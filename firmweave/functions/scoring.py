@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from firmweave.schemas import CONFIDENCE
 
@@ -21,9 +19,28 @@ def raw_confidence(similarity: Column, threshold: float = FUZZY_THRESHOLD) -> Co
     return F.lit(FUZZY_BASE_CONFIDENCE) + (similarity - F.lit(threshold)) * F.lit(0.5)
 
 
+def hundredths(value: Column) -> Column:
+    """Value in hundredths, rounded half to even by its exact binary value (as Python rounds).
+
+    A double from 1/128 up is a whole multiple of 2^-60, so the rounding is done on integers.
+    """
+    units = (value * F.lit(float(1 << 60))).cast("bigint").cast("decimal(19,0)")
+    shifted = units * F.lit(200) + F.lit(1 << 60)
+    whole = F.call_function("div", shifted, F.lit(1 << 61))
+    tie = (shifted % F.lit(1 << 61)) == 0
+    return F.when(tie & (whole % 2 == 1), whole - 1).otherwise(whole)
+
+
 def two_places(value: Column) -> Column:
-    """Two decimals with halves going down, which is what binary doubles do to these scores."""
-    return (F.floor(value * 100 + F.lit(0.5 - 1e-9)) / F.lit(100)).cast(CONFIDENCE)
+    return (hundredths(value) / F.lit(100)).cast(CONFIDENCE)
+
+
+def two_decimals(value: Column) -> Column:
+    """A score printed to two decimals."""
+    count = hundredths(value)
+    return F.concat(
+        F.call_function("div", count, F.lit(100)).cast("string"), F.lit("."), F.lpad((count % 100).cast("string"), 2, "0")
+    )
 
 
 def fuzzy_confidence(
@@ -36,36 +53,6 @@ def fuzzy_confidence(
     return two_places(F.least(value, F.lit(CONFIDENCE_CAP)))
 
 
-def printed_score(similarity: Column, threshold: float = FUZZY_THRESHOLD) -> Column:
-    """Struct (confidence in hundredths, similarity as text), rounded by binary value."""
-    base, cap = FUZZY_BASE_CONFIDENCE, CONFIDENCE_CAP
-
-    def printed(similarity: pd.Series) -> pd.DataFrame:
-        raw = [min(base + (s - threshold) * 0.5, cap) for s in similarity]
-        return pd.DataFrame(
-            {
-                "confidence": [round(round(value, 2) * 100) for value in raw],
-                "shown": [f"{s:.2f}" for s in similarity],
-            }
-        )
-
-    fields = [T.StructField("confidence", T.IntegerType()), T.StructField("shown", T.StringType())]
-    return F.pandas_udf(printed, T.StructType(fields))(similarity)
-
-
-def two_decimals(value: Column) -> Column:
-    """A score printed to two decimals by its binary value."""
-
-    def printed(value: pd.Series) -> pd.Series:
-        return value.map(lambda v: f"{v:.2f}")
-
-    return F.pandas_udf(printed, T.StringType())(value)
-
-
-def hundredths(value: Column) -> Column:
-    return (value / F.lit(100)).cast(CONFIDENCE)
-
-
 def direct_reasoning(abn: Column) -> Column:
     return F.concat(F.lit("Direct ABN match: "), abn, F.lit(" found on website matches ABR record"))
 

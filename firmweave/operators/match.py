@@ -15,9 +15,9 @@ from firmweave.functions.scoring import (
     FUZZY_THRESHOLD,
     assisted_reasoning,
     direct_reasoning,
+    fuzzy_confidence,
     fuzzy_reasoning,
-    hundredths,
-    printed_score,
+    two_decimals,
 )
 from firmweave.operators.numbering import dense_ids
 from firmweave.operators.similarity_join import GROUP_ROWS, Measure, candidate_pairs, similar_pairs
@@ -125,15 +125,15 @@ def match_fuzzy(
         .agg(F.min(ranked).alias("best"))
         .select("name", (-F.col("best.worse")).alias("similarity"), F.col("best.entry").alias("entry"))
     )
-    best = equal.unionByName(near).withColumn("score", printed_score(F.col("similarity"), threshold))
+    best = equal.unionByName(near)
     found = spread_join(rows, best, "name", [F.col("id")], counts=counted.select("name", "rows"))
     return found.select(
         F.col("id").alias("cc_id"),
         F.col("entry.abn").alias("abn"),
         F.lit("fuzzy_name").alias("match_method"),
-        hundredths(F.col("score.confidence")).alias("match_confidence"),
+        fuzzy_confidence(F.col("similarity"), threshold).alias("match_confidence"),
         fuzzy_reasoning(
-            F.col("score.shown"), F.col("scraped_company_name"), F.col("entry.entity_name")
+            two_decimals(F.col("similarity")), F.col("scraped_company_name"), F.col("entry.entity_name")
         ).alias("match_reasoning"),
     )
 
