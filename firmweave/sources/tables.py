@@ -1,4 +1,4 @@
-"""Tables of the integration as Parquet folders."""
+"""Tables of the integration as Parquet folders, one folder per version."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from firmweave import schemas
-from firmweave.session import cut_lineage
 
 TABLES: dict[str, T.StructType] = {
     "registry": schemas.REGISTRY,
@@ -16,18 +15,28 @@ TABLES: dict[str, T.StructType] = {
 }
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+_VERSION = "version="
+_DONE = "_SUCCESS"
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions of a table that were written to the end."""
     jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(folder)]
+    numbers = [int(name.removeprefix(_VERSION)) for name in names if name.startswith(_VERSION)]
+    return sorted(n for n in numbers if files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{_VERSION}{n}/{_DONE}")))
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table under ``root``, empty when it was never written; also a view of that name."""
-    path = f"{root}/{name}"
-    schema = TABLES[name]
-    if _exists(spark, path):
-        table = spark.read.schema(schema).parquet(path)
+    """Latest version of a table under ``root``, empty when there is none; also a view of that name."""
+    path, schema = f"{root}/{name}", TABLES[name]
+    versions = _versions(spark, path)
+    if versions:
+        table = spark.read.schema(schema).parquet(f"{path}/{_VERSION}{versions[-1]}")
     else:
         table = spark.createDataFrame([], schema)
     table.createOrReplaceTempView(name)
@@ -35,11 +44,12 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Replace a table and read it back.
+    """Write the next version of a table and read it back.
 
-    The new rows may come from the old table, so they go to the checkpoint folder
-    first; the old files are replaced only once the new rows exist.
+    The new rows may come from the version before, and results that are still to be
+    computed may read it, so it stays; old versions are the user's to remove.
     """
-    ready = cut_lineage(df.select(*TABLES[name].names))
-    ready.write.mode("overwrite").parquet(f"{root}/{name}")
-    return read_table(df.sparkSession, root, name)
+    spark, path = df.sparkSession, f"{root}/{name}"
+    number = (_versions(spark, path) or [0])[-1] + 1
+    df.select(*TABLES[name].names).write.mode("overwrite").parquet(f"{path}/{_VERSION}{number}")
+    return read_table(spark, root, name)

@@ -48,7 +48,7 @@ def test_run_pipeline(spark, tmp_path):
         [
             entity(11111111111, "Acme Pty Ltd"),
             entity(22222222222, "HARBOUR BAKERY PTY LTD"),
-            entity(33333333333, "Green Fields Dentistry Clinics"),
+            entity(33333333333, "Green Fields Dental Surgery"),
             entity(44444444444, "Nobody Knows"),
             entity(55555555555, "Closed Firm", "Cancelled"),
         ],
