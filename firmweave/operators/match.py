@@ -208,7 +208,7 @@ def _best_names(
     """
     measure = Measure("ratio", floor)
     pairs = cut_lineage(candidate_pairs(sites, register, measure, group_rows=group_rows))
-    score = measure.score(F.col("site_name"), F.col("register_name"))
+    score = measure.score()
     usable = (F.col("similarity") >= floor) if below is None else F.col("similarity").between(floor, below) & (
         F.col("similarity") < below
     )

@@ -7,8 +7,8 @@ thrown out by conditions that Spark evaluates inside the join:
   ``1 + gaps`` runs. A run of n characters gives n - 1 common bigrams (n unigrams),
   so the pair has at least ``need`` common tokens at compatible positions.
 * Prefix filter: with tokens in one global order, such a pair must share a token among
-  the first (tokens - need + 1) of each side. Rare tokens come first, so only
-  those few rows of a name enter the join.
+  the first (tokens - need + 1) of each side. Tokens that would bring the fewest pairs
+  together come first (those that one side lacks bring none).
 * Lengths, positions, ranks and the count of shared characters are checked in
   the join condition, as integers.
 
@@ -28,14 +28,13 @@ from firmweave.functions.similarity import (
     EPSILON,
     MASKS,
     count_masks,
-    edit_similarity,
     ratio,
     shared_characters,
 )
 
 BUCKETS = 1024
 # Tokens of one kind that may meet in one task, on either side.
-GROUP_ROWS = 100_000
+GROUP_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -80,6 +79,14 @@ class Measure:
         a, b = F.col(f"{left}.len"), F.col(f"{right}.len")
         return 2 * shared / (a + b) if self.name == "ratio" else shared / F.greatest(a, b)
 
+    def tighter(self, bound: Column) -> Column:
+        """The bound, lowered by the edit distance: each edit leaves a character unmatched."""
+        a, b = F.col("site_name"), F.col("register_name")
+        edits = F.levenshtein(a, b)
+        if self.name == "ratio":
+            return F.least(bound, 1 - edits / (F.length(a) + F.length(b)))
+        return F.least(bound, 1 - edits / F.greatest(F.length(a), F.length(b)))
+
     def least_need(self, length: Column, q: int) -> Column:
         """Lower bound, over all partners that fit, of the tokens a pair must share."""
         f = self.floor
@@ -106,8 +113,9 @@ class Measure:
                     return 1
         return 2
 
-    def score(self, a: Column, b: Column) -> Column:
-        return ratio(a, b) if self.name == "ratio" else edit_similarity(a, b)
+    def score(self) -> Column:
+        """Similarity of a pair that came through ``tighter``, which is exact for edit distance."""
+        return ratio(F.col("site_name"), F.col("register_name")) if self.name == "ratio" else F.col("bound")
 
 
 def _bucket(token: Column) -> Column:
@@ -120,12 +128,9 @@ def _grams(name: Column, q: int) -> Column:
     return F.transform(positions, lambda p: F.substring(name, p, q))
 
 
-def _token_counts(sites: DataFrame, register: DataFrame, q: int) -> tuple[list[int], list[int]]:
-    """Token frequencies of both sides by hash bucket: at most 2 x BUCKETS numbers."""
-    sides = [
-        df.select(F.lit(side).alias("side"), F.explode(_grams(F.col("name"), q)).alias("token"))
-        for side, df in ((0, sites), (1, register))
-    ]
+def _token_counts(sites: DataFrame, register: DataFrame) -> tuple[list[int], list[int]]:
+    """Frequencies of column ``token`` on both sides by hash bucket: at most 2 x BUCKETS numbers."""
+    sides = [df.select(F.lit(side).alias("side"), "token") for side, df in ((0, sites), (1, register))]
     rows = (
         sides[0]
         .unionByName(sides[1])
@@ -139,6 +144,10 @@ def _token_counts(sites: DataFrame, register: DataFrame, q: int) -> tuple[list[i
     return counts
 
 
+def _tokens(names: DataFrame, q: int) -> DataFrame:
+    return names.select(F.explode(_grams(F.col("name"), q)).alias("token"))
+
+
 def _lookup(values: list[int], token: Column) -> Column:
     table = F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
     return F.element_at(table, _bucket(token) + 1)
@@ -195,11 +204,16 @@ def candidate_pairs(
     asks for equal first letters in addition (a documented shortcut that loses pairs).
     """
     q = measure.token_size()
-    site_counts, register_counts = _token_counts(sites, register, q)
-    site_fan = _fan_out(site_counts, group_rows)
-    register_fan = _fan_out(register_counts, group_rows)
-    left = _salts(_prefix_rows(sites, q, measure, register_counts), "salt_s", "salt_r", site_fan, register_fan)
-    right = _salts(_prefix_rows(register, q, measure, register_counts), "salt_r", "salt_s", register_fan, site_fan)
+    site_counts, register_counts = _token_counts(_tokens(sites, q), _tokens(register, q))
+    order = [a * b for a, b in zip(site_counts, register_counts)]
+    left, right = _prefix_rows(sites, q, measure, order), _prefix_rows(register, q, measure, order)
+    if max(site_counts) > group_rows or max(register_counts) > group_rows:
+        # Some token may be hot; what counts is how often it stands in a prefix.
+        site_counts, register_counts = _token_counts(left, right)
+    site_fan, register_fan = _fan_out(site_counts, group_rows), _fan_out(register_counts, group_rows)
+    left = _salts(left, "salt_s", "salt_r", site_fan, register_fan)
+    right = _salts(right, "salt_r", "salt_s", register_fan, site_fan)
+
     # A fixed number of tasks: partitions of few bytes can still mean many pairs, and AQE
     # would merge them by bytes.
     tasks = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -212,16 +226,20 @@ def candidate_pairs(
         condition = condition & (F.col(f"s.{key}") == F.col(f"r.{key}"))
     if first_letter:
         condition = condition & (F.left(F.col("s.name"), F.lit(1)) == F.left(F.col("r.name"), F.lit(1)))
-    # The bound depends on the pair only, so repeated pairs are equal rows.
-    return (
-        left.join(right, condition, "inner")
-        .select(
-            F.col("s.name").alias("site_name"),
-            F.col("r.name").alias("register_name"),
-            measure.bound(shared, "s", "r").alias("bound"),
-        )
-        .repartition(tasks, "site_name", "register_name")
-        .distinct()
+    pairs = left.join(right, condition, "inner").select(
+        F.col("s.name").alias("site_name"),
+        F.col("r.name").alias("register_name"),
+        measure.bound(shared, "s", "r").alias("bound"),
+    )
+    # A pair is found once for each token it shares; the bound is the same each time. Taking it
+    # from the aggregate also keeps Spark from testing scores before pairs are distinct.
+    once = (
+        pairs.repartition(tasks, "site_name", "register_name")
+        .groupBy("site_name", "register_name")
+        .agg(F.max("bound").alias("bound"))
+    )
+    return once.withColumn("bound", measure.tighter(F.col("bound"))).filter(
+        F.col("bound") >= measure.floor - EPSILON
     )
 
 
@@ -234,5 +252,5 @@ def similar_pairs(
 ) -> DataFrame:
     """All pairs (site_name, register_name, similarity) at or above the floor."""
     pairs = candidate_pairs(sites, register, measure, first_letter, group_rows)
-    scored = pairs.drop("bound").withColumn("similarity", measure.score(F.col("site_name"), F.col("register_name")))
+    scored = pairs.select("site_name", "register_name", measure.score().alias("similarity"))
     return scored.filter(F.col("similarity") >= measure.floor)

@@ -147,3 +147,16 @@ def test_tables_can_replace_themselves(spark, tmp_path):
     tables.write_table(row, root, "matches")
     twice = tables.read_table(spark, root, "matches")
     assert tables.write_table(twice.unionByName(twice), root, "matches").count() == 2
+
+
+def test_new_lines_are_upserted(spark, tmp_path):
+    from firmweave.streaming.incremental_load import load_new_lines
+
+    (tmp_path / "in").mkdir()
+    where = [str(tmp_path / name) for name in ("in", "tables", "progress")]
+    (tmp_path / "in" / "a.jsonl").write_text('{"url": "u1", "company_name": "A"}\n{bad\n{"url": "u2"}\n')
+    load_new_lines(spark, *where).awaitTermination()
+    (tmp_path / "in" / "b.jsonl").write_text('{"url": "u1", "company_name": "B"}\n{"url": "u0"}\n{"url": "u1", "company_name": "C"}\n')
+    load_new_lines(spark, *where).awaitTermination()
+    rows = {r.website_url: (r.id, r.scraped_company_name) for r in tables.read_table(spark, where[1], "crawl").collect()}
+    assert rows == {"u1": (1, "C"), "u2": (2, None), "u0": (3, None)}
