@@ -176,7 +176,7 @@ def registry_upsert(spark, sf):
     current = current.withColumn("full_address", loading.loaded_address(F.col("address_line_1"), F.col("address_line_2")))
     incoming = load(spark, sf, "incoming_registry_fx").withColumn("full_address", F.lit(None).cast("string"))
     now = F.lit("2025-04-01 00:00:00").cast("timestamp")
-    merged = upsert.upsert_registry(current, incoming, F.col("seq"), now).drop("seq")
+    merged = upsert.upsert_registry(current, incoming, F.col("seq"), now)
     return merged.withColumn("loaded_at", text_of("loaded_at"))
 
 

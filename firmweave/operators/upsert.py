@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from firmweave.operators.numbering import dense_ids
 from firmweave.schemas import CRAWL, REGISTRY
+from firmweave.session import cut_lineage
 
 CRAWL_REFRESHED = ["scraped_company_name", "scraped_industry", "scraped_abn", "html_content_snippet"]
 
@@ -26,11 +27,14 @@ def latest_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
 
 def upsert_registry(current: DataFrame, incoming: DataFrame, order: Column, now: Column) -> DataFrame:
     """Register rows by abn: a new row replaces the old one whole; the last of several wins."""
-    columns = REGISTRY.names
-    with_order = incoming.withColumn("_order", order)
-    fresh = latest_per_key(with_order, "abn", F.col("_order")).withColumn("loaded_at", now)
-    kept = current.join(fresh.select("abn"), "abn", "left_anti")
-    return kept.select(*columns).unionByName(fresh.select(*columns))
+    columns = [name for name in REGISTRY.names if name not in ("abn", "loaded_at")]
+    fresh = latest_per_key(incoming.select("abn", *columns, order.alias("_order")), "abn", F.col("_order"))
+    new = fresh.select("abn", F.struct(*columns).alias("_new"))
+    old = current.select("abn", F.struct(*columns).alias("_old"), F.col("loaded_at"))
+    merged = old.join(new, "abn", "full_outer").withColumn("_row", F.coalesce("_new", "_old"))
+    loaded = F.when(F.col("_new").isNotNull(), now).otherwise(F.col("loaded_at"))
+    rows = merged.select("abn", "_row.*", loaded.alias("loaded_at"))
+    return rows.select(*REGISTRY.names)
 
 
 def upsert_crawl(current: DataFrame, incoming: DataFrame, order: Column, now: Column) -> DataFrame:
@@ -38,22 +42,23 @@ def upsert_crawl(current: DataFrame, incoming: DataFrame, order: Column, now: Co
 
     New sites get the ids after the highest present one, in order of their address.
     """
-    with_order = incoming.withColumn("_order", order)
-    fresh = latest_per_key(with_order, "website_url", F.col("_order")).select(
-        "website_url", *[F.col(name).alias(f"_new_{name}") for name in CRAWL_REFRESHED], F.lit(True).alias("_hit")
-    )
-    merged = current.join(fresh, "website_url", "full_outer")
-    hit = F.col("_hit").isNotNull()
-    rows = merged.select(
+    shaped = incoming.select("website_url", *CRAWL_REFRESHED, order.alias("_order"))
+    # Written once: reading and parsing pages is the costly part, and two plans need the result.
+    fresh = cut_lineage(latest_per_key(shaped, "website_url", F.col("_order")).drop("_order"))
+    updates = fresh.select("website_url", F.struct(*CRAWL_REFRESHED).alias("_new"))
+    joined = current.join(updates, "website_url", "left")
+    hit = F.col("_new").isNotNull()
+    known = joined.select(
         "id",
         "website_url",
-        *[F.when(hit, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name) for name in CRAWL_REFRESHED],
+        *[F.when(hit, F.col(f"_new.{name}")).otherwise(F.col(name)).alias(name) for name in CRAWL_REFRESHED],
         "warc_file_path",
         F.when(hit, now).otherwise(F.col("loaded_at")).alias("loaded_at"),
     )
-    known = rows.filter(F.col("id").isNotNull())
     # The ids of new rows start after one aggregate value, read as a scalar subquery.
     highest = current.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).scalar()
-    new = dense_ids(rows.filter(F.col("id").isNull()).drop("id"), [F.col("website_url")], "id")
-    new = new.withColumn("id", F.col("id") + highest)
+    unseen = fresh.join(current.select("website_url"), "website_url", "left_anti")
+    new = dense_ids(unseen, [F.col("website_url")], "id").withColumns(
+        {"id": F.col("id") + highest, "warc_file_path": F.lit(None).cast("string"), "loaded_at": now}
+    )
     return known.select(*CRAWL.names).unionByName(new.select(*CRAWL.names))

@@ -193,16 +193,12 @@ def company_order() -> list[Column]:
 
 def one_row_per_abn(companies: DataFrame) -> DataFrame:
     """Keep the most confident row of each number; rows without a number stay."""
-    order = Window.partitionBy("abn").orderBy(
+    # Rows without a number get groups of their own, by address, so they do not form one big one.
+    own = F.when(F.col("abn").isNull(), F.struct("website_url", "company_name"))
+    order = Window.partitionBy("abn", own).orderBy(
         F.col("match_confidence").desc_nulls_last(), F.col("website_url").asc_nulls_last()
     )
-    best = (
-        companies.filter(F.col("abn").isNotNull())
-        .withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") == 1)
-        .drop("_n")
-    )
-    return best.unionByName(companies.filter(F.col("abn").isNull()))
+    return companies.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") == 1).drop("_n")
 
 
 def companies(
