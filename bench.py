@@ -56,7 +56,7 @@ def write_register(spark: SparkSession, sf: str, folder: str) -> int:
     """Register elements of the derived register, as XML files; returns their number."""
     registry = load(spark, sf, "registry_fx")
     copies = max(1, XML_ROWS // max(1, registry.count()))
-    rows = registry.crossJoin(spark.range(copies).withColumnRenamed("id", "copy"))
+    rows = registry.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))
     address = F.struct(
         F.struct(
             F.col("address_line_1").alias("AddressLine1"),
