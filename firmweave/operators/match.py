@@ -20,7 +20,7 @@ from firmweave.functions.scoring import (
     two_decimals,
 )
 from firmweave.operators.numbering import dense_ids
-from firmweave.operators.similarity_join import GROUP_ROWS, Measure, candidate_pairs, similar_pairs
+from firmweave.operators.similarity_join import GROUP_ROWS, Measure, best_pairs, candidate_pairs
 from firmweave.operators.skew import spread_join
 from firmweave.schemas import CONFIDENCE, MATCH_COLUMNS, MATCHES
 from firmweave.session import cut_lineage
@@ -111,13 +111,15 @@ def match_fuzzy(
     equal = counted.filter(F.col("entry").isNotNull()).select(
         "name", F.lit(1.0).alias("similarity"), F.col("entry")
     )
-    pairs = similar_pairs(
+    scale = Measure(measure, threshold)
+    candidates = candidate_pairs(
         counted.filter(F.col("entry").isNull()).select("name"),
         entries.select("name"),
-        Measure(measure, threshold),
+        scale,
         first_letter=blocking == "first_letter",
         group_rows=group_rows,
     )
+    pairs = best_pairs(candidates, scale, 1)
     ranked = F.struct((-F.col("similarity")).alias("worse"), F.col("entry"))
     near = (
         pairs.join(entries.withColumnRenamed("name", "register_name"), "register_name")
@@ -175,7 +177,8 @@ def top_candidates(
     counted = cut_lineage(sites.groupBy("name").agg(F.count(F.lit(1)).alias("rows")))
     entries = cut_lineage(_first_entries(registry, k))
     names = entries.select("name").distinct()
-    pairs = _best_names(counted.select("name"), names, k, floor, below, group_rows)
+    measure = Measure("ratio", floor)
+    pairs = best_pairs(candidate_pairs(counted.select("name"), names, measure, group_rows=group_rows), measure, k, below)
 
     order = Window.partitionBy("name").orderBy(F.col("similarity").desc(), F.col("abn"))
     ranked = (
@@ -196,47 +199,6 @@ def top_candidates(
     return spread_join(sites, listed, "name", [F.col("id")], counts=counted)
 
 
-def _best_names(
-    sites: DataFrame, register: DataFrame, k: int, floor: float, below: float | None, group_rows: int
-) -> DataFrame:
-    """Name pairs that can be among the k best of a site, scored.
-
-    A pair is scored in Python only if its bound says it may still reach the top:
-    first the k pairs with the highest bound are scored; their lowest similarity is a
-    floor for the site; then the other pairs with a bound above that floor.
-    Without all k it is ``floor``. Nothing is cut that could be a result.
-    """
-    measure = Measure("ratio", floor)
-    pairs = cut_lineage(candidate_pairs(sites, register, measure, group_rows=group_rows))
-    score = measure.score()
-    usable = (F.col("similarity") >= floor) if below is None else F.col("similarity").between(floor, below) & (
-        F.col("similarity") < below
-    )
-    by_bound = Window.partitionBy("site_name").orderBy(F.col("bound").desc(), F.col("register_name"))
-    first = (
-        pairs.withColumn("n", F.row_number().over(by_bound))
-        .filter(F.col("n") <= k)
-        .select("site_name", "register_name", "bound")
-        .withColumn("similarity", score)
-    )
-    first = cut_lineage(first)
-    reached = (
-        first.filter(usable)
-        .groupBy("site_name")
-        .agg(F.min("similarity").alias("lowest"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= k)
-        .select("site_name", "lowest")
-    )
-    rest = (
-        pairs.join(first.select("site_name", "register_name"), ["site_name", "register_name"], "left_anti")
-        .join(reached, "site_name", "left")
-        .filter(F.col("bound") >= F.coalesce(F.col("lowest"), F.lit(floor)) - F.lit(1e-9))
-        .select("site_name", "register_name")
-        .withColumn("similarity", score)
-    )
-    return first.select("site_name", "register_name", "similarity").unionByName(rest).filter(usable)
-
-
 def score_prompts(df: DataFrame, scorer: Callable[[str], str | None], retries: int = 2) -> DataFrame:
     """Add ``answer``: what ``scorer`` says to ``prompt``, tried again on errors.
 

@@ -18,11 +18,15 @@ sees does not grow with the data. The same counts give the fan-out of hot tokens
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass
+from difflib import SequenceMatcher
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from firmweave.functions.similarity import (
     EPSILON,
@@ -35,6 +39,8 @@ from firmweave.functions.similarity import (
 BUCKETS = 1024
 # Tokens of one kind that may meet in one task, on either side.
 GROUP_ROWS = 20_000
+# Tasks among which the pairs of one site may be divided.
+SHARES = 8
 
 
 @dataclass(frozen=True)
@@ -196,9 +202,10 @@ def candidate_pairs(
     first_letter: bool = False,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Pairs (site_name, register_name, bound) that may reach the floor; none that does is missing.
+    """Pairs (site_name, register_name, bound, share) that may reach the floor; none that does is missing.
 
-    ``bound`` is an upper bound of the similarity.
+    ``bound`` is an upper bound of the similarity. Pairs are laid out by site and ``share``, a
+    hash of the register name, so that a site with very many pairs is scored by several tasks.
 
     Both inputs hold distinct, non-empty names in column ``name``. ``first_letter``
     asks for equal first letters in addition (a documented shortcut that loses pairs).
@@ -230,12 +237,13 @@ def candidate_pairs(
         F.col("s.name").alias("site_name"),
         F.col("r.name").alias("register_name"),
         measure.bound(shared, "s", "r").alias("bound"),
+        F.pmod(F.xxhash64("r.name"), F.lit(SHARES)).alias("share"),
     )
     # A pair is found once for each token it shares; the bound is the same each time. Taking it
     # from the aggregate also keeps Spark from testing scores before pairs are distinct.
     once = (
-        pairs.repartition(tasks, "site_name", "register_name")
-        .groupBy("site_name", "register_name")
+        pairs.repartition(tasks, "site_name", "share")
+        .groupBy("site_name", "register_name", "share")
         .agg(F.max("bound").alias("bound"))
     )
     return once.withColumn("bound", measure.tighter(F.col("bound"))).filter(
@@ -254,3 +262,42 @@ def similar_pairs(
     pairs = candidate_pairs(sites, register, measure, first_letter, group_rows)
     scored = pairs.select("site_name", "register_name", measure.score().alias("similarity"))
     return scored.filter(F.col("similarity") >= measure.floor)
+
+
+def best_pairs(pairs: DataFrame, measure: Measure, k: int, below: float | None = None) -> DataFrame:
+    """Pairs (site_name, register_name, similarity) among which are the k best of every site, ties included.
+
+    Takes what ``candidate_pairs`` gives. Each task goes through the pairs of a site by falling
+    bound and leaves out those whose bound is lower than its k-th best similarity so far: they cannot
+    be results. Only pairs within floor and ``below`` are kept and counted.
+    """
+    floor = measure.floor
+    if measure.name != "ratio":
+        scored = pairs.select("site_name", "register_name", F.col("bound").alias("similarity"))
+        usable = F.col("similarity") >= floor
+        return scored.filter(usable if below is None else usable & (F.col("similarity") < below))
+
+    def score(batches):
+        matcher, site, best = SequenceMatcher(None), None, []
+        for batch in batches:
+            kept = []
+            for name, other, bound in zip(batch["site_name"], batch["register_name"], batch["bound"]):
+                if name != site:
+                    site, best = name, []
+                    matcher.set_seq1(site)
+                if len(best) == k and bound < best[0] - EPSILON:
+                    continue
+                matcher.set_seq2(other)
+                value = matcher.ratio()
+                if value >= floor and (below is None or value < below):
+                    kept.append((name, other, value))
+                    if len(best) < k:
+                        heapq.heappush(best, value)
+                    else:
+                        heapq.heappushpop(best, value)
+            yield pd.DataFrame(kept, columns=["site_name", "register_name", "similarity"])
+
+    fields = [("site_name", T.StringType()), ("register_name", T.StringType()), ("similarity", T.DoubleType())]
+    schema = T.StructType([T.StructField(name, kind) for name, kind in fields])
+    ordered = pairs.select("site_name", "register_name", "bound").sortWithinPartitions("site_name", F.desc("bound"))
+    return ordered.mapInPandas(score, schema)
