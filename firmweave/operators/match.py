@@ -72,9 +72,19 @@ def named_sites(crawl: DataFrame, matches: DataFrame | None, limit: int | None =
 
 
 def active_names(registry: DataFrame) -> DataFrame:
-    """Active register rows with a name, normalised once, plus the column ``name``."""
+    """Active register rows with a name, plus the normalised ``name`` (empty if nothing is left)."""
     active = registry.filter((F.col("entity_status") == "Active") & F.col("entity_name").isNotNull())
-    return active.withColumn("name", normalize_name(F.col("entity_name"))).filter(F.col("name") != "")
+    return active.withColumn("name", normalize_name(F.col("entity_name")))
+
+
+def _counted_names(rows: DataFrame) -> DataFrame:
+    """Distinct, non-empty names with their number of rows.
+
+    The length comes out of the aggregate: a filter on the name itself would be moved below
+    it and normalise every name a second time.
+    """
+    counted = rows.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.max(F.length("name")).alias("chars"))
+    return counted.filter(F.col("chars") > 0).drop("chars")
 
 
 def match_fuzzy(
@@ -97,13 +107,12 @@ def match_fuzzy(
     if blocking not in ("exact", "first_letter"):
         raise ValueError(f"unknown blocking {blocking!r}")
     rows = named_sites(crawl, matches, limit).select("id", "scraped_company_name", "name")
-    rows = rows.filter(F.col("name") != "")
     entries = (
         active_names(registry)
         .groupBy("name")
         .agg(F.min(F.struct("abn", "entity_name")).alias("entry"))
     )
-    counted = rows.groupBy("name").agg(F.count(F.lit(1)).alias("rows"))
+    counted = _counted_names(rows)
     # Both distinct-name tables feed several plans below, so each is written once.
     entries = cut_lineage(entries)
     counted = cut_lineage(counted.join(entries, "name", "left"))
@@ -173,8 +182,8 @@ def top_candidates(
     sites = named_sites(crawl, matches, limit)
     if rich_context:
         sites = sites.filter(F.col("html_content_snippet").isNotNull())
-    sites = sites.select("id", "name").filter(F.col("name") != "")
-    counted = cut_lineage(sites.groupBy("name").agg(F.count(F.lit(1)).alias("rows")))
+    sites = sites.select("id", "name")
+    counted = cut_lineage(_counted_names(sites))
     entries = cut_lineage(_first_entries(registry, k))
     names = entries.select("name").distinct()
     measure = Measure("ratio", floor)
