@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.fixtures import load
-from firmweave.functions import dates, names, pages, prompts, scoring, similarity, web
-from firmweave.functions.text import strip
+from firmweave.functions import dates, names, prompts, scoring, similarity, web
 from firmweave.operators import extract, load as loading, match, quality, stats, upsert
 from firmweave.operators.similarity_join import Measure, similar_pairs
 from firmweave.plans import models
