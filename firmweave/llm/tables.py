@@ -24,7 +24,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from firmweave.session import ensure_checkpoint_dir
 
 # Text bytes of a chunk, and bytes of an Arrow batch: layout only, results do not depend on them.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 BATCH_BYTES = 4 << 20
 MAX_BUCKETS = 100_000
 
@@ -37,7 +37,7 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shards(spark: SparkSession) -> int:
-    return 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return 4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _folder(spark: SparkSession, name: str) -> tuple[str, str]:
