@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmweave.llm.decontaminate import find_contamination
+from firmweave.llm.sentencepiece_codec import decode_ids, encode_texts
 from firmweave.llm.substring_dedup import remove_repeated_words
 from firmweave.llm.suffix_array_dedup import remove_repeated_bytes
+from firmweave.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +84,69 @@ SELECT t.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
 FROM texts t LEFT JOIN found USING (doc_id)
 """
+
+
+@query
+def op6_benchmark_decontamination(spark, sf_dir):
+    benchmark = read(spark, sf_dir, "benchmark", "item_id", "text")
+    found = find_contamination(read(spark, sf_dir, "documents", "doc_id", "text"), benchmark)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op6_benchmark_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), items AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS k, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)
+), places AS (
+    SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT k FROM items) WHERE len(w) >= k
+), hits AS (
+    SELECT p.doc_id, p.i, p.k, t.item_id
+    FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM places) p JOIN items t ON t.k = p.k AND t.s = p.s
+), words AS (
+    SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM hits) GROUP BY doc_id
+), names AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN names USING (doc_id)
+"""
+
+
+def tokenizer_file(name: str) -> str:
+    """Where a public vocabulary file lies; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op8_token_counts(spark, sf_dir):
+    counted = count_tokens(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_file("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op9_sentencepiece_codec(spark, sf_dir):
+    path = tokenizer_file("piece_bpe_32k.model")
+    coded = decode_ids(encode_texts(read(spark, sf_dir, "documents", "doc_id", "text"), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
