@@ -7,8 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmweave.llm.chat_format import render_conversations
 from firmweave.llm.decontaminate import find_contamination
+from firmweave.llm.embedding_dedup import link_embeddings
+from firmweave.llm.kneser_ney import score_texts
+from firmweave.llm.quality import judge
 from firmweave.llm.sentencepiece_codec import decode_ids, encode_texts
+from firmweave.llm.simhash_dedup import near_duplicates
 from firmweave.llm.substring_dedup import remove_repeated_words
 from firmweave.llm.suffix_array_dedup import remove_repeated_bytes
 from firmweave.llm.token_counts import count_tokens
@@ -150,3 +155,75 @@ def op9_sentencepiece_codec(spark, sf_dir):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+@query
+def op2_chat_formatting(spark, sf_dir):
+    return render_conversations(read(spark, sf_dir, "conversations"))
+
+
+ORACLES["op2_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+), each AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k,
+           '<|' || coalesce(role, '') || E'|>\n' || coalesce(text, '') || E'\n<|end|>\n' AS s,
+           CASE WHEN role IS NULL THEN '0' ELSE '1' END || CASE WHEN text IS NULL THEN '0' ELSE '1' END AS flags
+    FROM turns
+), prefixes AS (
+    SELECT conv_id, k, md5(string_agg(flags || md5(s), '' ORDER BY k) OVER (PARTITION BY conv_id ORDER BY k)) AS p FROM each
+), finals AS (
+    SELECT conv_id, max(k) AS n, arg_max(p, k) AS p FROM prefixes GROUP BY conv_id
+), longer AS (
+    SELECT DISTINCT x.k, x.p FROM prefixes x JOIN finals f USING (conv_id) WHERE x.k < f.n
+), kept AS (
+    SELECT n, p, min(conv_id) AS conv_id, count(*) AS n_copies FROM finals GROUP BY n, p
+)
+SELECT k.conv_id, k.n AS n_turns, k.n_copies, string_agg(e.s, '' ORDER BY e.k) AS rendered
+FROM kept k JOIN each e USING (conv_id)
+WHERE NOT EXISTS (SELECT 1 FROM longer l WHERE l.k = k.n AND l.p = k.p)
+GROUP BY k.conv_id, k.n, k.n_copies
+"""
+
+
+@query
+def op4_simhash_near_dedup(spark, sf_dir):
+    found = near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_embedding_near_dedup(spark, sf_dir):
+    return link_embeddings(read(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_embedding_near_dedup"] = r"""
+WITH RECURSIVE usable AS (
+    SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), roots AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(c.n_links, 0) AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+FROM embeddings e JOIN roots r USING (vec_id) LEFT JOIN counts c USING (vec_id)
+"""
+
+
+@query
+def op5_language_model(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return score_texts(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    judged = judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "source", "lang", "p_low", "p_toxic", "rejected")

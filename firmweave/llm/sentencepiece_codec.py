@@ -25,7 +25,7 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # Words a worker remembers.
-_MEMO = 800_000
+_MEMO = 500_000
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 

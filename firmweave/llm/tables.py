@@ -11,6 +11,8 @@ Operators that compare every text with every other one work in three steps:
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -25,7 +27,7 @@ from firmweave.session import ensure_checkpoint_dir
 
 # Text bytes of a chunk, and bytes of an Arrow batch: layout only, results do not depend on them.
 CHUNK_BYTES = 6 << 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 MAX_BUCKETS = 100_000
 
 
@@ -40,6 +42,17 @@ def shards(spark: SparkSession) -> int:
     return 4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _given_back(result: pa.Table) -> pa.Table:
+    """Hand freed memory back to the system: workers live on, and their executor's memory is shared with the JVM."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+    return result
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
+
 def _folder(spark: SparkSession, name: str) -> tuple[str, str]:
     table = f"{name}_{uuid.uuid4().hex}"
     return table, f"{ensure_checkpoint_dir(spark)}/llm/{table}"
@@ -53,10 +66,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "chunks") -> DataFrame:
+def chunk_table(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "chunks", size: int = CHUNK_BYTES
+) -> DataFrame:
     """``docs`` in chunks: ``_chunk``, ``_id``, ``_text`` and ``_rest``, a struct of all other columns.
 
-    A chunk closes at CHUNK_BYTES of text, so it holds more only if one text is longer.
+    A chunk closes at ``size`` bytes of text, so it holds more only if one text is longer.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -73,7 +88,7 @@ def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lengths = pa.compute.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
             at = np.empty(len(lengths), dtype=np.int64)
             for i, n in enumerate(lengths.tolist()):
-                if filled and filled + n > CHUNK_BYTES:
+                if filled and filled + n > size:
                     chunk, filled = chunk + 1, 0
                 filled += n + 8
                 at[i] = chunk
@@ -92,19 +107,19 @@ Rows = Callable[[tuple, pa.Table], pa.Table]
 
 def per_chunk(chunks: DataFrame, fn: Rows, schema: str | StructType) -> DataFrame:
     """``fn(key, rows)`` for each chunk."""
-    return chunks.groupBy("_chunk").applyInArrow(lambda key, rows: fn(key, rows), schema)
+    return chunks.groupBy("_chunk").applyInArrow(lambda key, rows: _given_back(fn(key, rows)), schema)
 
 
 def per_chunk_with(chunks: DataFrame, answers: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``fn(key, rows, answers)`` for each chunk; only the answers are shuffled."""
     return chunks.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(
-        lambda key, rows, told: fn(key, rows, told), schema
+        lambda key, rows, told: _given_back(fn(key, rows, told)), schema
     )
 
 
 def per_shard(asked: DataFrame, fn: Rows, schema: str | StructType) -> DataFrame:
     """``fn(key, rows)`` for each shard."""
-    return asked.groupBy("shard").applyInArrow(lambda key, rows: fn(key, rows), schema)
+    return asked.groupBy("shard").applyInArrow(lambda key, rows: _given_back(fn(key, rows)), schema)
 
 
 def shard_of(keys: np.ndarray, n: int) -> np.ndarray:
@@ -141,3 +156,23 @@ class Texts:
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as the first one and differences of as few bytes as the largest needs."""
+    if not len(values):
+        return b""
+    steps = np.diff(values)
+    width = max(1, (int(steps.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values[:1].tobytes() + np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def unpack_sorted(data) -> np.ndarray:
+    raw = np.frombuffer(data, np.uint8)
+    if not len(raw):
+        return np.zeros(0, np.uint64)
+    width = int(raw[0])
+    steps = np.zeros(((len(raw) - 9) // width + 1, 8), np.uint8)
+    steps[0] = raw[1:9]
+    steps[1:, :width] = raw[9:].reshape(-1, width)
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)

@@ -27,7 +27,7 @@ HUGE = 1 << 16
 CHUNK = 1 << 15
 OVERLAP = 1 << 9
 # Pieces a worker remembers.
-_MEMO = 1_000_000
+_MEMO = 600_000
 
 # White space of Python covers that of the tokenizer's pattern, so each split is at a stable boundary.
 _STABLE = re.compile(r"(?= \S)")
