@@ -131,6 +131,7 @@ class Anchors:
             begin = np.flatnonzero(new)
             end = np.append(begin[1:], len(pos)) - 1
             pos, first, key, head, last, tail = pos[begin], first[begin], key[begin], head[begin], last[end], tail[end]
+        key = mix(key)  # anchors have small fingerprints; shards need even ones
         shape = ((last - first).astype(np.uint64) << np.uint64(32)) | (pos - first).astype(np.uint64)
         run = mix(join(join(head, tail), shape)) if len(pos) else key
         run[run == 0] = 1
