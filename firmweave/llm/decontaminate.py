@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from firmweave.llm.tables import Texts, bound_batches, settle
+from firmweave.llm.tables import Texts, bound_batches, per_batch, settle
 from firmweave.llm.words import word_bounds
 
 # Bytes of windows in one automaton (times about 60 in memory) and broadcast; larger benchmarks take several passes.
@@ -169,7 +169,7 @@ def _pass(docs: DataFrame, shard: Shard) -> DataFrame:
                 names=["_id", "_text", "_words", "_items", "_spans", "_rest"],
             )
 
-    return docs.mapInArrow(run, docs.schema)
+    return per_batch(docs, run, docs.schema)
 
 
 def find_contamination(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from firmweave.llm.components import components
-from firmweave.llm.tables import bound_batches, settle, shards
+from firmweave.llm.tables import bound_batches, per_batch, per_shard, settle, shards
 
 # Neighbours compared on each side, and passes: two vectors at cosine 0.98 differ in 6.4 % of signs, so one pass over n vectors of
 # a label misses them with probability 1 - 0.936 ** log2(n / WINDOW) about; twelve passes over 10 ** 9 find 93 % of such pairs.
@@ -61,7 +61,7 @@ def _projections(classes: DataFrame, passes: int, seed: int) -> DataFrame:
 
     with_d = classes.select("label", "cid", F.size("embedding").alias("d"), "embedding")
     kind = dict(classes.dtypes)["label"]
-    return with_d.mapInArrow(run, f"label {kind}, cid bigint, d int, embedding array<double>, pass int, key bigint")
+    return per_batch(with_d, run, f"label {kind}, cid bigint, d int, embedding array<double>, pass int, key bigint")
 
 
 def _found(projected: DataFrame, threshold: float, window: int) -> DataFrame:
@@ -142,7 +142,7 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
                 links[m:e] = copies[s:m] @ near
         return pa.table({"cid": pa.array(ids), "links": pa.array(links)})
 
-    counted = dealt.groupBy("shard").applyInArrow(lambda key, rows: run(key, rows), "cid bigint, links bigint")
+    counted = per_shard(dealt, run, "cid bigint, links bigint")
     return counted.groupBy("cid").agg(F.sum("links").alias("links"))
 
 

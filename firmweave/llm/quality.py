@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from firmweave.llm.memo import Memo
-from firmweave.llm.tables import bound_batches, settle
+from firmweave.llm.tables import bound_batches, per_batch, settle
 
 TRAITS = ("low", "toxic")
 # Labels that the document classifier is fitted on, about (those with the smallest hash of their id), and bound of its features
@@ -91,7 +91,7 @@ def fit_features(labelled: DataFrame, max_features: int = MAX_FEATURES) -> dict[
     bound_batches(labelled.sparkSession)
     narrow = labelled.select("text", *TRAITS)
     totals = narrow.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TRAITS]).first()
-    counted = narrow.mapInArrow(run, "f string, n bigint, low bigint, toxic bigint").groupBy("f")
+    counted = per_batch(narrow, run, "f string, n bigint, low bigint, toxic bigint").groupBy("f")
     counted = counted.agg(*[F.sum(c).alias(c) for c in ("n", *TRAITS)]).where(F.col("n") >= LEAST_DOCUMENTS)
     shares, tells = [], []
     for t in TRAITS:
@@ -164,7 +164,7 @@ def add_evidence(docs: DataFrame, weights: dict[str, list[float]]) -> DataFrame:
             columns = np.array(got, float).reshape(-1, len(TRAITS)).T
             yield pa.RecordBatch.from_arrays([*kept, *map(pa.array, columns)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return per_batch(docs, run, schema)
 
 
 def _strength(rates: DataFrame, trait: str, prior: Column) -> Column:

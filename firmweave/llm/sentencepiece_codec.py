@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from firmweave.llm.memo import Memo
-from firmweave.llm.tables import bound_batches
+from firmweave.llm.tables import bound_batches, per_batch
 
 MARK = "▁"
 # Piece types and model types of the protobuf format (fixed values).
@@ -238,7 +238,7 @@ def encode_texts(docs: DataFrame, path: str, threads: int = 2) -> DataFrame:
             kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "ids"]
             yield pa.RecordBatch.from_arrays([*kept, lists], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return per_batch(docs, run, schema)
 
 
 def decode_ids(encoded: DataFrame, path: str, out: str = "decoded") -> DataFrame:
@@ -260,4 +260,4 @@ def decode_ids(encoded: DataFrame, path: str, out: str = "decoded") -> DataFrame
             kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != out]
             yield pa.RecordBatch.from_arrays([*kept, made], names=schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return per_batch(encoded, run, schema)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from firmweave.llm.components import components
-from firmweave.llm.tables import Texts, bound_batches, settle, shards
+from firmweave.llm.tables import Texts, bound_batches, per_batch, per_shard, settle, shards
 from firmweave.llm.words import WHITE, word_bounds
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -24,7 +24,7 @@ _SEED = 42
 _FAN = 8
 # Fingerprints of one block value from which on they are dealt as pairs of parts; pairs held at once. Layout only.
 PART = 1024
-_AT_ONCE = 1 << 20
+_AT_ONCE = 1 << 18
 
 
 def fingerprints(texts: Texts, shingle: int = 3) -> np.ndarray:
@@ -45,13 +45,14 @@ def fingerprints(texts: Texts, shingle: int = 3) -> np.ndarray:
     counts = np.where(words > 0, np.maximum(words - shingle + 1, 1), 0)
     first = np.repeat(at[:-1], counts) + (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
     last = np.minimum(first + shingle, np.repeat(at[1:], counts)) - 1
-    left, right = place[first].tolist(), (place[last] + lengths[last]).tolist()
+    left, right = place[first], place[last] + lengths[last]
     digest = xxhash.xxh64_intdigest
     heads = np.cumsum(counts) - counts
     votes = np.zeros((len(texts), 64), np.int64)
-    step = 1 << 17
+    step = 1 << 16
     for lo in range(0, len(left), step):
-        hashes = np.array([digest(flat[a:b], _SEED) for a, b in zip(left[lo : lo + step], right[lo : lo + step], strict=True)], np.uint64)
+        ranges = zip(left[lo : lo + step].tolist(), right[lo : lo + step].tolist(), strict=True)
+        hashes = np.array([digest(flat[a:b], _SEED) for a, b in ranges], np.uint64)
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         doc = int(np.searchsorted(heads, lo, side="right") - 1)
         stop = int(np.searchsorted(heads, lo + len(hashes)))
@@ -188,7 +189,7 @@ def fingerprint_links(codes: DataFrame, radius: int = 3) -> DataFrame:
     shard = F.pmod(F.xxhash64("band", "block", "low", "high"), n).cast("int")
     dealt = dealt.select(shard.alias("shard"), "band", "block", "low", "high", "side", "code")
     run = _links(radius)
-    return dealt.groupBy("shard").applyInArrow(lambda key, rows: run(key, rows), "a bigint, b bigint")
+    return per_shard(dealt, run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
@@ -209,7 +210,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("_id"), F.col("text").alias("_text"))
     schema = StructType([StructField("doc_id", LongType()), StructField("code", LongType())])
-    coded = settle(narrow.mapInArrow(run, schema), "simhash")
+    coded = settle(per_batch(narrow, run, schema), "simhash")
     classes = settle(coded.groupBy("code").agg(F.min("doc_id").alias("first")), "simhash_classes")
     roots = components(fingerprint_links(classes.select("code"), radius))
     named = classes.join(roots, F.col("code") == F.col("node"), "left").select("code", "first", F.coalesce("root", "code").alias("root"))

@@ -27,7 +27,7 @@ from firmweave.session import ensure_checkpoint_dir
 
 # Text bytes of a chunk, and bytes of an Arrow batch: layout only, results do not depend on them.
 CHUNK_BYTES = 6 << 20
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 MAX_BUCKETS = 100_000
 
 
@@ -42,11 +42,15 @@ def shards(spark: SparkSession) -> int:
     return 4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _given_back(result: pa.Table) -> pa.Table:
+def give_back() -> None:
     """Hand freed memory back to the system: workers live on, and their executor's memory is shared with the JVM."""
     pa.default_memory_pool().release_unused()
     if _TRIM is not None:
         _TRIM(0)
+
+
+def _given_back(result: pa.Table) -> pa.Table:
+    give_back()
     return result
 
 
@@ -96,7 +100,7 @@ def chunk_table(
 
     buckets = min(MAX_BUCKETS, max(1, 2 * docs.rdd.getNumPartitions()))
     table, path = _folder(spark, name)
-    writer = packed.mapInArrow(number, schema).write.option("path", path).option("compression", "zstd")
+    writer = per_batch(packed, number, schema).write.option("path", path).option("compression", "zstd")
     writer.bucketBy(buckets, "_chunk").sortBy("_chunk").saveAsTable(table)
     return spark.table(table)
 
@@ -105,6 +109,16 @@ def chunk_table(
 Rows = Callable[[tuple, pa.Table], pa.Table]
 
 
+def per_batch(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``fn(batches)`` for each partition."""
+
+    def run(batches):
+        yield from fn(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
 def per_chunk(chunks: DataFrame, fn: Rows, schema: str | StructType) -> DataFrame:
     """``fn(key, rows)`` for each chunk."""
     return chunks.groupBy("_chunk").applyInArrow(lambda key, rows: _given_back(fn(key, rows)), schema)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from firmweave.llm.memo import Memo
-from firmweave.llm.tables import bound_batches
+from firmweave.llm.tables import bound_batches, per_batch
 
 # Characters: texts from HUGE on are chunked; chunks of CHUNK with OVERLAP shared.
 HUGE = 1 << 16
@@ -136,7 +136,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, huge: int = HUGE)
             kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "n_tokens"]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(held[0].counts(texts), pa.int64())], names=schema.names)
 
-    counted = docs.mapInArrow(run, schema)
+    counted = per_batch(docs, run, schema)
     others = [c for c in docs.columns if c not in ("n_bytes", "n_tokens", "over_limit")]
     return counted.select(
         *[F.col(f"`{c}`") for c in others],
