@@ -1,7 +1,7 @@
 """Quality classifier by hierarchical empirical Bayes: evidence of the document, shrunk posteriors of its site and path.
 
-Two traits are judged alike: low quality and toxicity. A document's evidence is the sum of log-likelihood ratios of the features it
-has. Labelled documents of a path (here ``source`` and ``lang``) give its rate of the trait, shrunk toward the rate of its site, which is
+Two traits are judged alike: low quality and toxicity. A document's evidence is a log-likelihood ratio: the logit of a regression on
+the features it has, less the log odds of the sample. Labelled documents of a path (here ``source`` and ``lang``) give its rate of the trait, shrunk toward the rate of its site, which is
 shrunk toward the global rate; how strongly is estimated from how much sites (paths) differ. The document is rejected where
 evidence and prior together make a trait more likely than not.
 """
@@ -9,6 +9,7 @@ evidence and prior together make a trait more likely than not.
 from __future__ import annotations
 
 import math
+import operator
 import re
 from collections import Counter
 
@@ -24,7 +25,7 @@ from firmweave.llm.tables import bound_batches, per_batch, settle
 TRAITS = ("low", "toxic")
 # Labels that the document classifier is fitted on, about (those with the smallest hash of their id), and bound of its features
 # (the most telling). Rates of sites and paths are counted over all labelled documents.
-MAX_LABELLED = 50_000
+MAX_LABELLED = 30_000
 MAX_FEATURES = 20_000
 # A feature must be in so many labelled documents, and tell so much (G statistic; 15 is one in ten thousand by chance).
 LEAST_DOCUMENTS = 5
@@ -32,7 +33,10 @@ LEAST_G = 15.0
 
 _EDGE = re.compile(r"^\W+|\W+$")
 _RUN = re.compile(r"(.)\1+")
-_COUNTS = (1, 4, 16, 64)
+_SHARES = (0.0, 0.02, 0.1, 0.3)
+# Pull of the weights toward none, and steps of the fit.
+_RIDGE = 0.2
+_STEPS = 300
 
 
 def shape(word: str) -> str:
@@ -48,33 +52,42 @@ def word_features(word: str) -> list[str]:
     return [f"w {core}", *(f"b{n} {core[:n]}" for n in (4, 5) if len(core) > n)]
 
 
-def text_features(words: Counter) -> list[str]:
-    """Features of the text as a whole: its length, repeats, and share of unlike words."""
-    total = sum(words.values())
-    out = [f"length {int(math.log2(total + 1))}"]
-    if total:
-        out.append(f"different {int(8 * len(words) / total)}")
-        out.append(f"top {int(8 * max(words.values()) / total)}")
+def _steps(name: str, value: float, cuts: tuple[float, ...] = (0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)) -> list[str]:
+    return [f"{name} {c}" for c in cuts if value >= c]
+
+
+def text_features(words: list[str], counts: Counter, text: str) -> list[str]:
+    """Features of the text as a whole: its length, how much repeats, and what its characters are."""
+    out = [f"length {int(math.log2(len(words) + 1))}"]
+    if words:
+        out += _steps("same word again", sum(map(operator.eq, words, words[1:])) / len(words))
+        out += _steps("different words", len(counts) / len(words))
+        out += _steps("commonest word", max(counts.values()) / len(words))
+        out += _steps("upper case", sum(map(str.isupper, words)) / len(words))
+        lines = text.split("\n")
+        out += _steps("same lines", 1 - len(set(lines)) / len(lines))
+        out += [f"word length {int(len(text) / len(words))}"]
     return out
 
 
-def shape_features(shapes: Counter) -> list[str]:
-    return [f"s{least} {s}" for s, n in shapes.items() for least in _COUNTS if n >= least]
+def shape_features(shapes: Counter, total: int) -> list[str]:
+    return [f"s{least} {s}" for s, n in shapes.items() for least in _SHARES if n >= least * total]
 
 
 def features(text: str | None) -> set[str]:
-    words = Counter((text or "").split())
+    words = (text or "").split()
+    counts = Counter(words)
     shapes: Counter = Counter()
-    out = set(text_features(words))
-    for word, n in words.items():
+    out = set(text_features(words, counts, text or ""))
+    for word, n in counts.items():
         out.update(word_features(word))
         shapes[shape(word)] += n
-    out.update(shape_features(shapes))
+    out.update(shape_features(shapes, len(words)))
     return out
 
 
-def fit_features(labelled: DataFrame, max_features: int = MAX_FEATURES) -> dict[str, list[float]]:
-    """Weights of the telling features for each trait, from ``text`` and the traits (0 or 1) of labelled documents."""
+def telling_features(labelled: DataFrame, max_features: int = MAX_FEATURES) -> list[str]:
+    """The features that labelled documents (``text`` and the traits, 0 or 1) show to tell a trait best."""
 
     def run(batches):
         for batch in batches:
@@ -88,33 +101,70 @@ def fit_features(labelled: DataFrame, max_features: int = MAX_FEATURES) -> dict[
             columns = list(zip(*counts.values(), strict=True)) or [[]] * (1 + len(TRAITS))
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *[pa.array(c, pa.int64()) for c in columns]], names=["f", "n", *TRAITS])
 
-    bound_batches(labelled.sparkSession)
-    narrow = labelled.select("text", *TRAITS)
-    totals = narrow.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TRAITS]).first()
-    counted = per_batch(narrow, run, "f string, n bigint, low bigint, toxic bigint").groupBy("f")
+    totals = labelled.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TRAITS]).first()
+    counted = per_batch(labelled, run, "f string, n bigint, low bigint, toxic bigint").groupBy("f")
     counted = counted.agg(*[F.sum(c).alias(c) for c in ("n", *TRAITS)]).where(F.col("n") >= LEAST_DOCUMENTS)
-    shares, tells = [], []
+    tells = [F.lit(0.0)]
     for t in TRAITS:
-        yes, no = float(totals[t]), float(totals["n"] - totals[t])
-        if not yes or not no:
-            shares.append(F.lit(0.0))
-            tells.append(F.lit(0.0))
-            continue
-        a, b = F.col(t).cast("double"), (F.col("n") - F.col(t)).cast("double")
-        shares.append(F.log((a + 0.5) / (yes + 1)) - F.log((b + 0.5) / (no + 1)))
-        rate = yes / (yes + no)
-        part = lambda x, expected: F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
-        tells.append(2 * (part(a, F.col("n") * rate) + part(b, F.col("n") * (1 - rate))))
-    picked = [F.when(g >= LEAST_G, w).otherwise(0.0).alias(t) for t, w, g in zip(TRAITS, shares, tells, strict=True)]
-    rows = counted.select("f", *picked, F.greatest(*tells).alias("g")).where(F.col("g") >= LEAST_G)
-    return {r.f: [r[t] for t in TRAITS] for r in rows.orderBy(F.desc("g"), "f").limit(max_features).collect()}
+        rate = totals[t] / max(1, totals["n"])
+        if 0 < rate < 1:
+            yes, no = F.col(t).cast("double"), (F.col("n") - F.col(t)).cast("double")
+            parts = [F.when(x > 0, x * F.log(x / (F.col("n") * r))).otherwise(0.0) for x, r in ((yes, rate), (no, 1 - rate))]
+            tells.append(2 * (parts[0] + parts[1]))
+    rows = counted.select("f", F.greatest(F.lit(0.0), *tells).alias("g")).where(F.col("g") >= LEAST_G)
+    return [r.f for r in rows.orderBy(F.desc("g"), "f").limit(max_features).collect()]
+
+
+def fit_weights(labelled: DataFrame, max_features: int = MAX_FEATURES) -> dict[str, list[float]]:
+    """Weights of the telling features, and of "" for all texts: logistic regression, less the log odds of the sample.
+
+    Of each labelled document (MAX_LABELLED about) the driver gets the numbers of its telling features, not the text.
+    """
+    bound_batches(labelled.sparkSession)
+    labelled = labelled.select("text", *TRAITS)
+    names = telling_features(labelled, max_features)
+    if not names:
+        return {"": [0.0] * len(TRAITS)}
+    sent = labelled.sparkSession.sparkContext.broadcast({f: [k] for k, f in enumerate(names)})
+
+    def run(batches):
+        scorer = Scorer(sent.value)
+        for batch in batches:
+            found = [sorted(k for f in fs for k in sent.value[f]) for fs in scorer.found(batch.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1), batch.column(2)], names=["found", *TRAITS])
+
+    table = per_batch(labelled, run, "found array<int>, low int, toxic int").toArrow()
+    column = table.column("found").combine_chunks()
+    flat = column.flatten().to_numpy()
+    rows = np.repeat(np.arange(len(column)), pa.compute.list_value_length(column).to_numpy())
+    fitted = [_logistic(flat, rows, len(names), table.column(t).to_numpy()) for t in TRAITS]
+    return {f: [float(w[k]) for w in fitted] for k, f in enumerate([*names, ""])}
+
+
+def _logistic(flat: np.ndarray, rows: np.ndarray, n: int, y: np.ndarray) -> np.ndarray:
+    """Weights of ``n`` binary features and a constant, the log odds of ``y`` taken off it."""
+    m = len(y)
+    if not 0 < y.sum() < m:
+        return np.zeros(n + 1)
+    odds = math.log(y.sum() / (m - y.sum()))
+    w = np.zeros(n + 1)
+    mean, square = np.zeros(n + 1), np.zeros(n + 1)
+    for step in range(1, _STEPS + 1):
+        logit = odds + w[n] + np.bincount(rows, w[flat], m)
+        off = 1 / (1 + np.exp(-np.clip(logit, -40, 40))) - y
+        slope = np.append(np.bincount(flat, off[rows], n), off.sum()) + _RIDGE * w
+        mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope * slope
+        w -= 0.1 * (1 - step / (_STEPS + 1)) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    return w
 
 
 class Scorer:
+    """Telling features of texts, and the sums of their weights; what a word shows is remembered."""
+
     def __init__(self, weights: dict[str, list[float]]):
         self.weights = weights
-        self.shapes = {f.split(" ", 1)[1] for f in weights if f[0] == "s"}
-        self.memo = Memo(400_000)
+        self.shapes = {f.split(" ", 1)[1] for f in weights if f[:1] == "s" and " " in f}
+        self.memo = Memo(300_000)
 
     def _of(self, words: list[str]) -> list[tuple]:
         out = []
@@ -124,25 +174,29 @@ class Scorer:
             out.append((known, s if s in self.shapes else None))
         return out
 
-    def evidence(self, texts: list[str | None]) -> list[list[float]]:
-        counted = [Counter((t or "").split()) for t in texts]
+    def found(self, texts: list[str | None]) -> list[set[str]]:
+        split = [(t or "").split() for t in texts]
+        counted = [Counter(w) for w in split]
         get = self.memo.lookup(set().union(*counted), self._of).__getitem__
         out = []
-        for words in counted:
-            found = {f for f in text_features(words) if f in self.weights}
+        for words, counts, text in zip(split, counted, texts, strict=True):
+            found = {f for f in text_features(words, counts, text or "") if f in self.weights}
             shapes: Counter = Counter()
-            for word, n in words.items():
+            for word, n in counts.items():
                 known, s = get(word)
                 if known:
                     found.update(known)
                 if s is not None:
                     shapes[s] += n
-            found.update(f for f in shape_features(shapes) if f in self.weights)
-            sums = [0.0] * len(TRAITS)
-            for f in sorted(found):
-                for k, w in enumerate(self.weights[f]):
-                    sums[k] += w
-            out.append(sums)
+            found.update(f for f in shape_features(shapes, len(words)) if f in self.weights)
+            out.append(found)
+        return out
+
+    def evidence(self, texts: list[str | None]) -> list[list[float]]:
+        out = []
+        for found in self.found(texts):
+            rows = [self.weights[f] for f in ["", *sorted(found)]]
+            out.append([math.fsum(column) for column in zip(*rows, strict=True)])
         return out
 
 
@@ -243,7 +297,7 @@ def judge(
     traits = settle(traits, "traits")
     labelled = rows.select("doc_id", *[c.alias(k) for k, c in keys.items()]).join(traits, "doc_id")
     sites = site_posteriors(labelled.select("site", "path", *TRAITS))
-    weights = fit_features(rows.select("doc_id", "text").join(F.broadcast(_sample(traits, max_labelled)), "doc_id"), max_features)
+    weights = fit_weights(rows.select("doc_id", "text").join(F.broadcast(_sample(traits, max_labelled)), "doc_id"), max_features)
     judged = add_evidence(rows.withColumns(keys), weights)
     rates = [f"rate_{t}" for t in TRAITS]
 
