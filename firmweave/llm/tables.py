@@ -32,9 +32,9 @@ MAX_BUCKETS = 100_000
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes, unless the session already does: texts may be very long."""
+    """Lower the session's bound of Arrow batches to BATCH_BYTES: workers hold many times a batch, and texts may be long."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).rstrip("bB")) > 1 << 30:
+    if not 0 < int(spark.conf.get(key).rstrip("bB")) <= BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
