@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from firmweave.operators.numbering import dense_ids
 from firmweave.operators.skew import FAN, ROWS_PER_TASK, SALT, count_keys, hot_keys, replicated, salted, spread_join
 from firmweave.schemas import COMPANIES, CONFIDENCE
+from firmweave.session import cut_lineage
 
 _COMPANY_COLUMNS = [
     name for name in COMPANIES.names if name not in ("company_id", "updated_at")
@@ -126,9 +127,9 @@ def companies_unnumbered(
        whose register row is not clean (a cancelled entity, say) is in neither group
        and goes; with ``active_only`` it counts as crawl-only instead.
 
-    Hot numbers are spread: a repeated register row that meets no site is dropped,
-    since a number that is hot has a match by definition. Sites without a match
-    get keys of their own, so they do not pile up under NULL.
+    Hot numbers are spread, if a clean site stands behind one of their links: only then does
+    a repeated register row that meets no site go, since another one of its number
+    has. Sites without a match get keys of their own, so they do not pile up under NULL.
     """
     sites, entities = crawl_clean(crawl), registry_clean(registry)
     links = matches.filter(F.col("cc_id").isNotNull()).select(
@@ -150,6 +151,9 @@ def companies_unnumbered(
 
     counts = count_keys(links.select(F.col("link_abn").alias("key")), "key")
     hot = hot_keys(counts, "key", rows_per_task=rows_per_task)
+    behind = links.select("cc_id", F.col("link_abn").alias("key")).join(F.broadcast(hot), "key")
+    met = behind.join(sites.select("cc_id"), "cc_id", "left_semi").select("key").distinct()
+    hot = cut_lineage(hot.join(met, "key", "left_semi"))
     left = salted(keyed, "key", hot, [F.col("cc_id")])
     right = replicated(entities.withColumn("key", F.col("abn")), "key", hot)
     both = left.join(right, ["key", SALT], "full_outer")
@@ -177,7 +181,10 @@ def companies_unnumbered(
         "start_date",
         "data_source",
         F.col("match_confidence").cast(CONFIDENCE).alias("match_confidence"),
-        F.coalesce("matched_at", "site_loaded_at", "loaded_at").alias("created_at"),
+        F.when(F.col("data_source") == "BOTH", F.col("matched_at"))
+        .when(from_site, F.col("site_loaded_at"))
+        .otherwise(F.col("loaded_at"))
+        .alias("created_at"),
     ).select(*_COMPANY_COLUMNS)
 
 

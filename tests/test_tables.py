@@ -93,6 +93,25 @@ def test_mart_from_two_joins_equals_union(spark, staged, rows_per_task):
     assert rows(got.select(*want.columns)) == rows(want)
 
 
+@pytest.mark.parametrize("rows_per_task", [1, 3, 1_000_000])
+def test_hot_number_without_clean_sites_stays_a_company(spark, staged, rows_per_task):
+    """Links of sites that are not clean make a number hot, but no match: its company is in the register only."""
+    registry, crawl, matches = staged
+    entity = registry.where("entity_status = 'Active' AND entity_name IS NOT NULL").limit(1).withColumn("abn", F.lit("99999999999"))
+    junk = crawl.limit(4).withColumn("id", F.col("id") + 1_000_000).withColumn("website_url", F.concat(F.lit("junk"), F.col("id").cast("string")))
+    junk = junk.withColumn("scraped_company_name", F.lit(None).cast("string")).withColumn("scraped_abn", F.lit(None).cast("string"))
+    links = matches.limit(1).drop("cc_id", "abn").crossJoin(junk.select(F.col("id").alias("cc_id"), F.lit("99999999999").alias("abn")))
+    got = models.companies_unnumbered(registry.unionByName(entity), crawl.unionByName(junk), links.select(*matches.columns), rows_per_task=rows_per_task)
+    assert [r.data_source for r in got.where("abn = '99999999999'").collect()] == ["ABR"]
+
+
+def test_created_at_is_that_of_the_match(spark, staged):
+    registry, crawl, matches = staged
+    got = models.companies_unnumbered(registry, crawl, matches.withColumn("created_at", F.lit(None).cast("timestamp")))
+    seen = {(r.data_source, r.created_at is None) for r in got.select("data_source", "created_at").collect()}
+    assert ("BOTH", True) in seen and ("BOTH", False) not in seen and ("ABR", False) in seen and ("CC", False) in seen
+
+
 def test_active_only_keeps_sites_of_cancelled_entities(spark, staged):
     registry, crawl, matches = staged
     lost = models.lost_matches(registry, crawl, matches).count()
