@@ -11,6 +11,9 @@ from firmweave.functions.text import SPACE, blank_to_null
 COUNTRY_SUFFIX = ".au"
 COUNTRY_MARKERS = [".com.au", ".gov.au", ".org.au", ".edu.au"]
 
+# Every address that ``is_australian_domain`` takes holds this, so records without it need not be decoded.
+COUNTRY_PART = COUNTRY_SUFFIX
+
 # The labels of a business number, in order of priority.
 ABN_LABELS = ["ABN", "Australian Business Number", r"A\.?B\.?N\.?"]
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from firmweave.operators.skew import spread_join
 from firmweave.schemas import DATA_SOURCES, MATCH_METHODS
+from firmweave.sources.tables import table_versions
 
 
 def not_unique(df: DataFrame, *columns: str) -> DataFrame:
@@ -173,7 +174,6 @@ def one_per_pair(matches: DataFrame) -> DataFrame:
     return best.select(*matches.columns).unionByName(matches.filter(~keyed))
 
 
-def missing_tables(spark: SparkSession, names: list[str]) -> list[str]:
-    """Names that are not registered as tables or views in the session."""
-    present = {table.name for table in spark.catalog.listTables()}
-    return [name for name in names if name not in present]
+def missing_tables(spark: SparkSession, root: str, names: list[str]) -> list[str]:
+    """Tables of which no version under ``root`` was written to the end."""
+    return [name for name in names if not table_versions(spark, f"{root}/{name}")]

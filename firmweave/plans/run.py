@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firmweave.functions import web
 from firmweave.operators import extract, load, match, quality, stats, upsert
 from firmweave.plans import models
 from firmweave.session import cut_lineage
@@ -26,9 +27,9 @@ class Report:
     missing_tables: list[str] = field(default_factory=list)
 
 
-def load_pages(spark: SparkSession, root: str, lines_path: str) -> DataFrame:
-    """Upsert page lines into the crawl table."""
-    rows = load.crawl_rows(page_lines.good_lines(page_lines.read_page_lines(spark, lines_path)), keep=("load_order",))
+def load_pages(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
+    """Upsert page rows that carry a ``load_order`` into the crawl table."""
+    rows = load.crawl_rows(lines, keep=("load_order",))
     current = tables.read_table(spark, root, "crawl")
     merged = upsert.upsert_crawl(current, rows, F.col("load_order"), F.current_timestamp())
     return tables.write_table(merged, root, "crawl")
@@ -48,20 +49,38 @@ def extract_to_lines(
     lines_path: str,
     max_records: int | None = None,
     scorer: Callable[[str], str | None] | None = None,
-) -> None:
-    """Write the page rows of an archive folder as JSON lines.
+) -> DataFrame:
+    """Write the page rows of an archive folder as JSON lines; returns them with their ``load_order``.
 
-    With a ``scorer``, rows without a name are put to it (see ``extract.with_extraction_prompt``).
+    The order is that of the archives (file, record), so which of two captures of an address wins does not depend
+    on how the lines are dealt to files. With a ``scorer``, rows without a name are put to it (see
+    ``extract.with_extraction_prompt``). Archives are read once, and the scorer asked once: both are written first.
     """
-    rows = extract.extract_pages(archive.read_archives(spark, archives), max_records)
-    if scorer is not None:
-        # The answers are fetched once and must not be fetched again by a later plan.
-        asked = extract.with_extraction_prompt(rows.filter(F.col("company_name").isNull()))
+    pages = extract.extract_pages(archive.read_archives(spark, archives, web.COUNTRY_PART), max_records)
+    if scorer is None:
+        rows = pages.drop("html")
+    else:
+        pages = cut_lineage(pages)
+        asked = extract.with_extraction_prompt(pages.filter(F.col("company_name").isNull()))
         keyed = asked.withColumn("id", F.struct("file", "pos"))
-        answers = match.score_prompts(keyed, scorer).select("id", "answer")
-        rows = rows.withColumn("id", F.struct("file", "pos")).join(answers, "id", "left")
-        rows = extract.apply_extraction_answer(rows)
+        answers = cut_lineage(match.score_prompts(keyed, scorer).select("id", "answer"))
+        rows = pages.drop("html").withColumn("id", F.struct("file", "pos")).join(answers, "id", "left")
+        rows = extract.apply_extraction_answer(rows).drop("id", "answer")
+    rows = cut_lineage(rows.withColumn("load_order", F.struct("file", "pos")))
     page_lines.write_page_lines(rows, lines_path)
+    return rows
+
+
+def add_manual(spark: SparkSession, root: str, manual: DataFrame) -> DataFrame:
+    """Put manual pairs with valid keys into the match table, in place of other matches of their sites."""
+    current = tables.read_table(spark, root, "matches")
+    ours = match.with_manual(current.limit(0), manual)
+    valid, _ = quality.split_valid_matches(
+        ours, tables.read_table(spark, root, "crawl"), tables.read_table(spark, root, "registry")
+    )
+    valid = cut_lineage(valid)
+    others = current.join(valid.select("cc_id"), "cc_id", "left_anti").select(*current.columns)
+    return tables.write_table(match.append_matches(others, valid, F.current_timestamp()), root, "matches")
 
 
 def run_matching(
@@ -105,19 +124,32 @@ def run_pipeline(
     page_scorer: Callable[[str], str | None] | None = None,
     unique_abn: bool = False,
     active_only: bool = False,
+    manual: DataFrame | None = None,
 ) -> Report:
     """Run all steps whose inputs are given; tables live in Parquet folders under ``root``.
 
     ``lines_path`` is where extracted pages go (default ``root/pages``), or, without
-    ``archives``, where they come from.
+    ``archives``, where they come from. ``manual``: pairs (cc_id, abn, match_reasoning) that go into the match
+    table before the tiers run and replace other matches of their sites. The report's ``statistics`` also hold the
+    counters of each step that ran: pages, archive_errors, lines, register.
     """
+    counters: dict[str, DataFrame] = {}
     if archives:
         lines_path = lines_path or f"{root}/pages"
-        extract_to_lines(spark, archives, lines_path, max_records, page_scorer)
-    if lines_path:
-        load_pages(spark, root, lines_path)
+        pages = extract_to_lines(spark, archives, lines_path, max_records, page_scorer)
+        counters["pages"] = extract.extraction_counters(pages, F.col("source") == "LLM")
+        counters["archive_errors"] = archive.read_errors(archive.read_archives(spark, archives, web.COUNTRY_PART))
+        load_pages(spark, root, pages)
+    elif lines_path:
+        lines = page_lines.read_page_lines(spark, lines_path)
+        counters["lines"] = page_lines.line_counters(lines)
+        load_pages(spark, root, page_lines.good_lines(lines))
     if register_path:
+        entities = load.registry_rows(register_xml.read_register(spark, register_path), keep=("file",))
+        counters["register"] = load.register_counters(entities, "file")
         load_register(spark, root, register_path)
+    if manual is not None:
+        add_manual(spark, root, manual)
     matches, attempts, quarantined = run_matching(spark, root, strategy, limits, scorer)
     companies = build_companies(spark, root, unique_abn, active_only)
 
@@ -138,6 +170,7 @@ def run_pipeline(
             "match_rate": stats.match_rate(attempts),
             "site_match_rate": stats.site_match_rate(crawl, matches),
             "lost_matches": models.lost_matches(registry, crawl, matches),
+            **counters,
         },
-        missing_tables=quality.missing_tables(spark, list(tables.TABLES)),
+        missing_tables=quality.missing_tables(spark, root, list(tables.TABLES)),
     )

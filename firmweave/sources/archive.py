@@ -9,6 +9,8 @@ files. Records are streamed, so a task holds one record at a time.
 
 from __future__ import annotations
 
+import io
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +21,7 @@ from firmweave import schemas
 FORMAT = "webarchive"
 KEPT_TYPES = "response,conversion"
 _BATCH_BYTES = 8 << 20
-_HTTP_BODY_LIMIT = 1 << 30
+ERROR = "error"
 
 
 def _fields(lines: list[bytes]) -> dict[str, str]:
@@ -46,10 +48,28 @@ def _dechunked(body: bytes) -> bytes:
         at = end + 2 + size + 2
 
 
+def _inflated(body: bytes) -> bytes:
+    """Whole content of a gzip or deflate body, all members of it; what there is of a body that was cut off.
+
+    Bytes after the last member are no content. Raises ``zlib.error`` if nothing can be read.
+    """
+    out: list[bytes] = []
+    for window in (47, -15):
+        rest = body
+        try:
+            while rest:
+                member = zlib.decompressobj(window)
+                out.append(member.decompress(rest) + member.flush())
+                rest = member.unused_data if window > 0 and member.unused_data[:2] == b"\x1f\x8b" else b""
+            return b"".join(out)
+        except zlib.error:
+            if out:
+                return b"".join(out)
+    raise zlib.error("neither gzip nor deflate")
+
+
 def _http_body(block: bytes) -> bytes:
     """Payload of an HTTP response block, transfer and content encodings undone."""
-    import zlib
-
     if not block.startswith(b"HTTP/"):
         return block
     head, gap, body = block.partition(b"\r\n\r\n")
@@ -59,11 +79,10 @@ def _http_body(block: bytes) -> bytes:
     if "chunked" in fields.get("transfer-encoding", "").lower():
         body = _dechunked(body)
     if fields.get("content-encoding", "").lower() in ("gzip", "x-gzip", "deflate"):
-        for window in (47, -15):
-            try:
-                return zlib.decompressobj(window).decompress(body, _HTTP_BODY_LIMIT)
-            except zlib.error:
-                continue
+        try:
+            return _inflated(body)
+        except zlib.error:
+            return body
     return body
 
 
@@ -71,7 +90,9 @@ def records(stream, types: set[str], uri_part: str | None) -> Iterator[tuple[str
     """(type, target URI, payload, number) of the wanted records of an open archive.
 
     Framing goes by Content-Length alone, so text that looks like a header inside a
-    payload does no harm. Unwanted payloads are skipped, not kept.
+    payload does no harm. Unwanted payloads are skipped, not kept. A record whose length cannot be
+    read or whose payload ends early gives a record of type ``error`` that tells why; reading
+    goes on at the next record.
     """
     number = -1
     while True:
@@ -85,11 +106,18 @@ def records(stream, types: set[str], uri_part: str | None) -> Iterator[tuple[str
         while (line := stream.readline()).strip():
             head.append(line)
         fields = _fields(head)
-        length = int(fields.get("content-length", "0") or 0)
+        stated = fields.get("content-length", "0") or "0"
         kind, uri = fields.get("warc-type", ""), fields.get("warc-target-uri")
         uri = uri.strip("<>") if uri else uri
+        if not (stated.isascii() and stated.isdigit()):
+            yield ERROR, uri, f"length {stated!r}".encode(), number
+            continue
+        length = int(stated)
         if kind in types and (uri_part is None or (uri is not None and uri_part in uri.lower())):
             block = stream.read(length)
+            if len(block) < length:
+                yield ERROR, uri, f"{len(block)} of {length} bytes".encode(), number
+                return
             http = kind == "response" and (uri or "").lower().startswith("http")
             yield kind, uri, _http_body(block) if http else block, number
         else:
@@ -98,19 +126,44 @@ def records(stream, types: set[str], uri_part: str | None) -> Iterator[tuple[str
                 left -= len(skipped)
 
 
+class _Gunzipped(io.RawIOBase):
+    """All members of a gzip stream. What can be read before a broken or cut-off member is given out first."""
+
+    def __init__(self, raw):
+        self.raw, self.member, self.held = raw, None, b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while True:
+            data = self.held or self.raw.read(1 << 16)
+            if self.member is None:
+                data += self.raw.read(1) if len(data) == 1 else b""
+                if data[:2] != b"\x1f\x8b":  # the end, or bytes that are no member
+                    return 0
+                self.member = zlib.decompressobj(31)
+            if not data:
+                raise EOFError("the file ends within a gzip member")
+            out = self.member.decompress(data, len(buffer))
+            self.held = self.member.unconsumed_tail
+            if self.member.eof:
+                self.held, self.member = self.member.unused_data, None
+            if out:
+                buffer[: len(out)] = out
+                return len(out)
+
+
 def _open(path: str):
     """A buffered byte stream of any file that Arrow's file systems reach, gunzipped if need be."""
-    import gzip
-    import io
-
     from pyarrow import fs
 
     system, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path.removeprefix("file:"))
-    raw = system.open_input_stream(inner)
+    raw = system.open_input_stream(inner, compression=None)
     # Layers of gzip are told by their first bytes; some writers compress records and then the file.
     stream = io.BufferedReader(raw, 1 << 20)
     while stream.peek(2)[:2] == b"\x1f\x8b":
-        stream = io.BufferedReader(gzip.GzipFile(fileobj=stream), 1 << 20)
+        stream = io.BufferedReader(_Gunzipped(stream), 1 << 20)
     return stream
 
 
@@ -159,15 +212,28 @@ class ArchiveReader(DataSourceReader):
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], schema=schema)
 
-        with _open(partition.path) as stream:
-            for kind, uri, payload, number in records(stream, self.types, self.uri_part):
-                # Bytes that are not UTF-8 are left out.
-                text = payload.decode("utf-8", "ignore")
-                rows.append((kind, uri, text, partition.path, number))
-                held += len(payload)
-                if held >= _BATCH_BYTES:
-                    yield batch()
-                    rows, held = [], 0
+        def readable():
+            """The records up to where the content can be read, then an error record if that is not its end.
+
+            Errors of the storage are not caught: the task fails and is tried again.
+            """
+            last = -1
+            try:
+                with _open(partition.path) as stream:
+                    for found in records(stream, self.types, self.uri_part):
+                        last = found[3]
+                        yield found
+            except (EOFError, zlib.error) as error:
+                yield ERROR, None, f"{type(error).__name__}: {error}".encode(), last + 1
+
+        for kind, uri, payload, number in readable():
+            # Bytes that are not UTF-8 are left out.
+            text = payload.decode("utf-8", "ignore")
+            rows.append((kind, uri, text, partition.path, number))
+            held += len(payload)
+            if held >= _BATCH_BYTES:
+                yield batch()
+                rows, held = [], 0
         if rows:
             yield batch()
 
@@ -194,10 +260,16 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ArchiveSource)
 
 
-def read_archives(spark: SparkSession, path: str, uri_contains: str | None = ".au", suffixes: str = ".gz") -> DataFrame:
-    """Records that may belong to the country, from an archive file or a folder of them."""
+def read_archives(spark: SparkSession, path: str, uri_contains: str | None = None, suffixes: str = ".gz") -> DataFrame:
+    """Records of an archive file or a folder of them; with ``uri_contains`` only those whose address holds that text."""
     register(spark)
     reader = spark.read.format(FORMAT).option("path", path).option("suffixes", suffixes)
     if uri_contains:
         reader = reader.option("uriContains", uri_contains)
     return reader.load()
+
+
+def read_errors(archive_records: DataFrame) -> DataFrame:
+    """Records that could not be read: file, pos, target_uri and the reason."""
+    broken = archive_records.filter(archive_records["rec_type"] == ERROR)
+    return broken.select("file", "pos", "target_uri", broken["payload"].alias("reason"))

@@ -19,7 +19,7 @@ _VERSION = "version="
 _DONE = "_SUCCESS"
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def table_versions(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the versions of a table that were written to the end."""
     jvm = spark._jvm
     folder = jvm.org.apache.hadoop.fs.Path(path)
@@ -34,7 +34,7 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Latest version of a table under ``root``, empty when there is none; also a view of that name."""
     path, schema = f"{root}/{name}", TABLES[name]
-    versions = _versions(spark, path)
+    versions = table_versions(spark, path)
     if versions:
         table = spark.read.schema(schema).parquet(f"{path}/{_VERSION}{versions[-1]}")
     else:
@@ -50,6 +50,6 @@ def write_table(df: DataFrame, root: str, name: str) -> DataFrame:
     computed may read it, so it stays; old versions are the user's to remove.
     """
     spark, path = df.sparkSession, f"{root}/{name}"
-    number = (_versions(spark, path) or [0])[-1] + 1
+    number = (table_versions(spark, path) or [0])[-1] + 1
     df.select(*TABLES[name].names).write.mode("overwrite").parquet(f"{path}/{_VERSION}{number}")
     return read_table(spark, root, name)

@@ -43,7 +43,7 @@ def archives(tmp_path):
 
 
 def test_archive_records(spark, archives):
-    rows = archive.read_archives(spark, str(archives)).collect()
+    rows = archive.read_archives(spark, str(archives), uri_contains=".au").collect()
     one = {r.target_uri: r for r in rows if r.file.endswith("one.warc.gz")}
     assert {u: r.payload for u, r in one.items()} == {
         "http://a.com.au/": "<title>A</title> text\r\nWARC/1.0\r\n",
@@ -60,6 +60,31 @@ def test_plain_archive_and_no_address_filter(spark, archives):
     assert [r.target_uri for r in rows][3] == "http://d.example.org/" and len(rows) == 5
 
 
+def test_whole_bodies_and_errors_told(spark, tmp_path):
+    members = gzip.compress(b"<h1>one") + gzip.compress(b" two</h1>") + b"junk"
+    good = record("response", "http://m.com.au/", http(members, "Content-Encoding: gzip"))
+    bad = record("response", "http://bad.com.au/", http(b"x")).replace(b"Content-Length: ", b"Content-Length: many ")
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(bad) + gzip.compress(good))
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(RECORDS[2]) + gzip.compress(good * 50)[:-30])
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(good[:-40]))
+    found = archive.read_archives(spark, str(tmp_path))
+    pages = [(r.file[-9:], r.target_uri, r.payload) for r in found.where("rec_type <> 'error'").collect()]
+    assert ("a.warc.gz", "http://m.com.au/", "<h1>one two</h1>") in pages
+    assert ("b.warc.gz", "http://a.com.au/", "<title>A</title> text\r\nWARC/1.0\r\n") in pages
+    errors = {r.file[-9:]: r.reason for r in archive.read_errors(found).collect()}
+    assert errors["a.warc.gz"].startswith("length 'many") and "bytes" in errors["c.warc.gz"] and "b.warc.gz" in errors
+
+
+def test_missing_tables_are_told(spark, tmp_path):
+    from firmweave.operators.quality import missing_tables
+
+    root = str(tmp_path)
+    tables.read_table(spark, root, "crawl")  # an empty view is no table
+    assert missing_tables(spark, root, ["crawl", "matches"]) == ["crawl", "matches"]
+    tables.write_table(spark.createDataFrame([], tables.TABLES["crawl"]), root, "crawl")
+    assert missing_tables(spark, root, ["crawl", "matches"]) == ["matches"]
+
+
 def test_folder_without_archives(spark, tmp_path):
     with pytest.raises(Exception, match="no .gz files"):
         archive.read_archives(spark, str(tmp_path)).collect()
@@ -99,6 +124,28 @@ def test_register_xml(spark, tmp_path):
     assert counted == {True: (3, 2), False: (3, 2)}
 
 
+def test_one_register_file_is_read_by_many_tasks(spark, tmp_path):
+    """Split at elements, with the same rows as the XML reader gives, in the order of the file."""
+    rows = [
+        f'<ABR recordLastUpdatedDate="20200101" replaced="N"><ABN status="Active" ABNStatusFromDate="20010203">{10**10 + i}</ABN>'
+        f"<MainEntity><NonIndividualName><NonIndividualNameText> É &amp; {i} </NonIndividualNameText></NonIndividualName></MainEntity></ABR>"
+        for i in range(3000)
+    ]
+    (tmp_path / "big.xml").write_text('<?xml version="1.0" encoding="UTF-8"?>\n<ABRFile>\n' + "\n".join(rows) + "\n</ABRFile>\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        got = load.registry_rows(register_xml.read_register(spark, str(tmp_path)), keep=("load_order",))
+        assert got.rdd.getNumPartitions() > 3
+        names = [r.entity_name for r in got.orderBy("load_order").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert names == [f" É & {i} " for i in range(3000)]
+    reader = spark.read.format("xml").option("rowTag", "ABR").option("ignoreSurroundingSpaces", "false")
+    plain = load.registry_rows(reader.schema(register_xml.schemas.REGISTER_XML).load(str(tmp_path)))
+    assert sorted(got.drop("load_order").collect(), key=lambda r: r.abn) == sorted(plain.collect(), key=lambda r: r.abn)
+
+
 def test_page_lines_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("é.com.au", "http://é.com.au", None)], "domain string, url string, company_name string")
     df = df.select("*", *[F.lit(None).cast("string").alias(c) for c in ("industry", "scraped_abn", "title", "meta_description", "h1", "schema_org_name", "source")])
