@@ -69,21 +69,21 @@ FROM pages
 # Register rows that replace old ones (even numbers) or are new, each sent twice.
 INCOMING_REGISTRY_FX = """
 SELECT CAST(10000000000 + 2 * c.c_custkey AS STRING) AS abn,
-       c.c_name || ' v' || CAST(v.r_regionkey AS STRING) AS entity_name,
+       c.c_name || ' v' || CAST(c.v AS STRING) AS entity_name,
        c.c_mktsegment AS entity_type, 'Active' AS entity_status,
        CAST(NULL AS STRING) AS address_line_1, CAST(NULL AS STRING) AS address_line_2,
        '2000' AS postcode, 'NSW' AS state, DATE '2024-01-01' AS start_date,
-       v.r_regionkey AS seq
-FROM customer c JOIN region v ON v.r_regionkey <= 1
+       c.v AS seq
+FROM (SELECT *, 0 AS v FROM customer UNION ALL SELECT *, 1 AS v FROM customer) c
 """
 
 # Crawl rows that refresh old ones or are new, each sent twice.
 INCOMING_CRAWL_FX = """
 SELECT 'https://www.site' || CAST(2 * p.p_partkey AS STRING) || '.com.au/' AS website_url,
-       p.p_name || ' v' || CAST(v.r_regionkey AS STRING) AS scraped_company_name,
+       p.p_name || ' v' || CAST(p.v AS STRING) AS scraped_company_name,
        p.p_type AS scraped_industry, CAST(NULL AS STRING) AS scraped_abn,
-       'H1: ' || p.p_brand AS html_content_snippet, v.r_regionkey AS seq
-FROM part p JOIN region v ON v.r_regionkey <= 1
+       'H1: ' || p.p_brand AS html_content_snippet, p.v AS seq
+FROM (SELECT *, 0 AS v FROM part UNION ALL SELECT *, 1 AS v FROM part) p
 """
 
 # Date stamps in the shapes a register file may use.
@@ -137,7 +137,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TEXTS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sources = {"registry_fx": ["customer", "part"], "crawl_fx": ["part"], "pages_fx": ["pages"]}
-    sources |= {"incoming_registry_fx": ["customer", "region"], "incoming_crawl_fx": ["part", "region"]}
+    sources |= {"incoming_registry_fx": ["customer"], "incoming_crawl_fx": ["part"]}
     sources |= {"stamps_fx": ["customer"]}
     for source in [*sources.get(name, []), *NEEDS.get(name, [])]:
         load(spark, sf_dir, source).createOrReplaceTempView(source)

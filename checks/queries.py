@@ -258,7 +258,7 @@ def unmatched_sites(spark, sf):
 def first_unmatched_sites(spark, sf):
     _, crawl, matches = staged(spark, sf)
     named = match.unmatched(crawl.filter(F.col("scraped_company_name").isNotNull()), matches)
-    return match.first_rows(named, match.DEFAULT_LIMITS["llm"]).select("id", "website_url")
+    return match.first_rows(named, 100).select("id", "website_url")
 
 
 @query

@@ -18,16 +18,20 @@ _COMMENT = r"<!--.*?-->"
 # The rest of a tag; a quoted value may hold ">". Without closing quotes it ends at the next ">".
 _REST_OF_TAG = r"(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)"
 _TAG = rf"<[a-zA-Z/!?]{_REST_OF_TAG}"
-_META = rf"(?is)(<meta\b{_REST_OF_TAG})"
+# A name ends here; "-" goes on, as in custom elements.
+_END_OF_NAME = r"(?=[\s/>])"
+_META = rf"(?is)(<meta{_END_OF_NAME}{_REST_OF_TAG})"
 _META_IS_DESCRIPTION = r"(?is)[\s\"']name\s*=\s*(?:\"(?-i:description)\"|'(?-i:description)'|(?-i:description)[\s/>])"
 _CONTENT = r"(?is)[\s\"']content\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-_TITLE = rf"(?is)<title\b{_REST_OF_TAG}(.*?)</title\s*>"
-_H1 = rf"(?is)<h1\b{_REST_OF_TAG}(.*?)</h1\s*>"
-_JSON_LD = r"(?is)<script\b[^>]*\btype\s*=\s*[\"']?application/ld\+json[\"']?[^>]*>(.*?)</script\s*>"
+_TITLE = rf"(?is)<title{_END_OF_NAME}{_REST_OF_TAG}(.*?)</title\s*>"
+_H1 = rf"(?is)<h1{_END_OF_NAME}{_REST_OF_TAG}(.*?)</h1\s*>"
+_JSON_LD = rf"(?is)<script{_END_OF_NAME}[^>]*\btype\s*=\s*[\"']?application/ld\+json[\"']?[^>]*>(.*?)</script\s*>"
 
 
 def _elements(names: list[str]) -> str:
-    return "|".join(rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)" for name in names)
+    # Raw-text elements run to the end of the page if they are not closed; others without an end stay.
+    ends = {name: r"|\z" if name in ("script", "style") else "" for name in names}
+    return "|".join(rf"<{name}{_END_OF_NAME}[^>]*>.*?(?:</{name}\s*>{end})" for name, end in ends.items())
 
 
 def _without(markup: Column, names: list[str]) -> Column:
@@ -90,7 +94,9 @@ def first_heading(visible: Column) -> Column:
 
 
 def json_ld_blocks(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(_JSON_LD), F.lit(1))
+    """JSON-LD texts in page order; what is commented out is not read, comments within scripts are theirs."""
+    shown = F.regexp_replace(html, rf"(?is)(<script{_END_OF_NAME}[^>]*>.*?</script\s*>)|{_COMMENT}", "$1")
+    return F.regexp_extract_all(shown, F.lit(_JSON_LD), F.lit(1))
 
 
 # Schema.org types that name a company.

@@ -9,8 +9,6 @@ from firmweave.functions.scoring import two_decimals
 from firmweave.functions.text import strip
 
 MIN_CONFIDENCE = 0.5
-MAX_CANDIDATES = 5
-_ADDRESS_CHARS = 100
 
 # Fixed wording of the request.
 _OPENING = "You are an expert at matching company records from websites to official business register entries."
@@ -53,7 +51,7 @@ def _candidate_text(candidate: Column, index: Column) -> Column:
         F.lit("\n   Entity Name: "), candidate["entity_name"],
         F.lit("\n   Type: "), field("entity_type"),
         F.lit("\n   State: "), field("state"),
-        F.lit("\n   Address: "), F.left(field("full_address"), F.lit(_ADDRESS_CHARS)),
+        F.lit("\n   Address: "), field("full_address"),
         F.lit("\n   Similarity Score: "), two_decimals(candidate["similarity"]), F.lit("\n"),
     )
 
@@ -62,7 +60,7 @@ def match_prompt(
     website_url: Column, name: Column, industry: Column, context: Column, candidates: Column
 ) -> Column:
     """Request text; ``candidates`` are structs with abn, entity_name, entity_type, state, full_address, similarity."""
-    listed = F.array_join(F.transform(F.slice(candidates, 1, MAX_CANDIDATES), _candidate_text), "")
+    listed = F.array_join(F.transform(candidates, _candidate_text), "")
     return F.concat(
         F.lit(_OPENING + "\n\nWEBSITE INFORMATION:\n- URL: "), website_url,
         F.lit("\n- Company Name (from website): "), _or_na(name),

@@ -10,8 +10,6 @@ from firmweave.functions import pages
 from firmweave.functions.text import blank_to_null, strip
 from firmweave.functions.web import canonical_domain, extract_abn, is_australian_domain
 
-PROMPT_CHARS = 15_000
-
 
 def keep_record_types(records: DataFrame) -> DataFrame:
     return records.filter(F.col("rec_type").isin("response", "conversion"))
@@ -80,17 +78,19 @@ def page_rows(df: DataFrame, url: str = "url", html: str = "html", keep: tuple[s
 
 
 def with_prompt_text(
-    df: DataFrame, html: str = "html", max_chars: int = PROMPT_CHARS, only: Column | None = None
+    df: DataFrame, html: str = "html", max_chars: int | None = None, only: Column | None = None
 ) -> DataFrame:
     """Add ``prompt_text``: page text without boilerplate, NULL where ``only`` fails.
 
-    The cut at ``max_chars`` (marked by dots) is part of the request format.
+    The whole text; a user whose model takes less may cut it at ``max_chars`` (marked by dots).
     """
     only = F.lit(True) if only is None else only
     staged = df.withColumn("_cut", F.when(only, pages.cut_tags(pages.prompt_markup(F.col(html)))))
     staged = staged.withColumn("_all", pages.spaced_text(F.col("_cut")))
-    long = F.length("_all") > max_chars
-    text = F.when(long, F.concat(F.left(F.col("_all"), F.lit(max_chars)), F.lit("..."))).otherwise(F.col("_all"))
+    text = F.col("_all")
+    if max_chars is not None:
+        cut = F.concat(F.left(text, F.lit(max_chars)), F.lit("..."))
+        text = F.when(F.length(text) > max_chars, cut).otherwise(text)
     return staged.withColumn("prompt_text", text).drop("_cut", "_all")
 
 
@@ -152,7 +152,7 @@ def extract_pages(records: DataFrame, max_records: int | None = None) -> DataFra
         F.col("target_uri").alias("url"), F.col("payload").alias("html"), "file", "pos"
     )
     rows = page_rows(keep_country_pages(pages_in), keep=("file", "pos", "html"))
-    return rows.limit(max_records) if max_records else rows
+    return rows.orderBy("file", "pos").limit(max_records) if max_records else rows
 
 
 def page_row_columns(df: DataFrame) -> DataFrame:

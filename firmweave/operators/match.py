@@ -25,9 +25,6 @@ from firmweave.operators.skew import spread_join
 from firmweave.schemas import CONFIDENCE, MATCH_COLUMNS, MATCHES
 from firmweave.session import cut_lineage
 
-# Rows the tiers take by default in the command-line job.
-DEFAULT_LIMITS = {"direct": 1_000_000, "fuzzy": 10_000, "llm": 100}
-
 CANDIDATE_FLOOR = 0.60
 TOP_CANDIDATES = 5
 
