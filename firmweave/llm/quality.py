@@ -3,7 +3,7 @@
 Two traits are judged alike: low quality and toxicity. A document's evidence is a log-likelihood ratio: the logit of a regression on
 the features it has, less the log odds of the sample. Labelled documents of a path (here ``source`` and ``lang``) give its rate of the trait, shrunk toward the rate of its site, which is
 shrunk toward the global rate; how strongly is estimated from how much sites (paths) differ. The document is rejected where
-evidence and prior together make a trait more likely than not.
+evidence and prior together make a trait likely enough.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ MAX_LABELLED = 30_000
 MAX_FEATURES = 20_000
 # A feature must be in so many labelled documents, and tell so much (G statistic; 15 is one in ten thousand by chance).
 LEAST_DOCUMENTS = 5
+# A document goes from this probability of a trait on: a bad one kept costs more than a good one lost.
+THRESHOLD = 0.2
 LEAST_G = 15.0
 
 _EDGE = re.compile(r"^\W+|\W+$")
@@ -276,8 +278,9 @@ def judge(
     path: str = "lang",
     max_labelled: int = MAX_LABELLED,
     max_features: int = MAX_FEATURES,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """``docs`` with ``p_low``, ``p_toxic`` and ``rejected`` (either above a half).
+    """``docs`` with ``p_low``, ``p_toxic`` and ``rejected`` (either above ``threshold``).
 
     ``docs``: ``doc_id``, ``text``, ``site`` and ``path`` columns and any others; ``labels``: ``doc_id``, ``quality`` (0: low), ``toxic`` (1:
     toxic). Labels without id or with both values null are not used, a single null value is taken as good; of repeated labels of an
@@ -311,7 +314,7 @@ def judge(
         rate = F.coalesce(f"rate_{t}_path", f"rate_{t}_site", F.lit(base[f"rate_{t}"]))
         logit = F.col(f"evidence_{t}") + F.log(rate / (1 - rate))
         judged = judged.withColumn(f"p_{t}", 1 / (1 + F.exp(-logit)))
-    rejected = ((F.col("p_low") > 0.5) | (F.col("p_toxic") > 0.5)) if base["n"] else F.lit(False)
+    rejected = ((F.col("p_low") > threshold) | (F.col("p_toxic") > threshold)) if base["n"] else F.lit(False)
     kept = [F.col(names.get(c, c)).alias(c) for c in docs.columns if c not in added]
     return judged.select(*kept, "p_low", "p_toxic", rejected.alias("rejected"))
 
