@@ -18,9 +18,13 @@ class Memo:
         """A mapping that holds all of ``strings``; ``compute`` gives the values of new ones. Valid until the next call."""
         if len(self.young) > self.size // 2:
             self.old, self.young = self.young, {}
-        for string in self.old.keys() & (strings - self.young.keys()):
-            self.young[string] = self.old.pop(string)
-        missing = list(strings - self.young.keys())
+        # One look for each string: set differences with a dictionary would walk through all of it.
+        missing = []
+        for string in [s for s in strings if s not in self.young]:
+            if string in self.old:
+                self.young[string] = self.old.pop(string)
+            else:
+                missing.append(string)
         found = dict(zip(missing, compute(missing), strict=True)) if missing else {}
         if any(len(s) > self.longest for s in missing):
             once = {s: v for s, v in found.items() if len(s) > self.longest}

@@ -12,6 +12,7 @@ import math
 import operator
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from firmweave.llm.tables import bound_batches, per_batch, settle
 TRAITS = ("low", "toxic")
 # Labels that the document classifier is fitted on, about (those with the smallest hash of their id), and bound of its features
 # (the most telling). Rates of sites and paths are counted over all labelled documents.
-MAX_LABELLED = 30_000
+MAX_LABELLED = 20_000
 MAX_FEATURES = 20_000
 # A feature must be in so many labelled documents, and tell so much (G statistic; 15 is one in ten thousand by chance).
 LEAST_DOCUMENTS = 5
@@ -33,22 +34,41 @@ LEAST_DOCUMENTS = 5
 THRESHOLD = 0.2
 LEAST_G = 15.0
 
-_EDGE = re.compile(r"^\W+|\W+$")
+_EDGES = "".join(chr(c) for c in range(0x20, 0x7F) if not chr(c).isalnum()) + "«»„“”‘’…–—¿¡"
 _RUN = re.compile(r"(.)\1+")
 _SHARES = (0.0, 0.02, 0.1, 0.3)
 # Pull of the weights toward none, and steps of the fit.
 _RIDGE = 0.2
-_STEPS = 300
+_STEPS = 150
+# Words a worker remembers, and features it counts before it passes them on.
+_MEMO = 300_000
+_HELD = 300_000
+
+
+class _Kinds(dict):
+    """Kind of each character, for ``str.translate``."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = kind = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        return kind
+
+
+_KINDS = _Kinds()
+
+
+@lru_cache(1 << 14)
+def _closed_up(kinds: str) -> str:
+    return _RUN.sub(r"\1", kinds)[:6]
 
 
 def shape(word: str) -> str:
     """Kinds of characters in order, repeats closed up: letters as A or a, digits as 0, others as they are."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:40])
-    return _RUN.sub(r"\1", kinds)[:6]
+    return _closed_up(word[:40].translate(_KINDS))
 
 
 def word_features(word: str) -> list[str]:
-    core = _EDGE.sub("", word).lower()
+    core = word.strip(_EDGES).lower()
     if not core:
         return []
     return [f"w {core}", *(f"b{n} {core[:n]}" for n in (4, 5) if len(core) > n)]
@@ -72,18 +92,27 @@ def text_features(words: list[str], counts: Counter, text: str) -> list[str]:
     return out
 
 
-def shape_features(shapes: Counter, total: int) -> list[str]:
+def shape_features(shapes: dict[str, int], total: int) -> list[str]:
     return [f"s{least} {s}" for s, n in shapes.items() for least in _SHARES if n >= least * total]
 
 
+_SEEN = Memo(_MEMO)
+
+
+def _word(words: list[str]) -> list[tuple]:
+    return [(word_features(w), shape(w)) for w in words]
+
+
 def features(text: str | None) -> set[str]:
     words = (text or "").split()
     counts = Counter(words)
-    shapes: Counter = Counter()
+    get = _SEEN.lookup(set(counts), _word).__getitem__
+    shapes: dict[str, int] = {}
     out = set(text_features(words, counts, text or ""))
     for word, n in counts.items():
-        out.update(word_features(word))
-        shapes[shape(word)] += n
+        known, s = get(word)
+        out.update(known)
+        shapes[s] = shapes.get(s, 0) + n
     out.update(shape_features(shapes, len(words)))
     return out
 
@@ -92,16 +121,23 @@ def telling_features(labelled: DataFrame, max_features: int = MAX_FEATURES) -> l
     """The features that labelled documents (``text`` and the traits, 0 or 1) show to tell a trait best."""
 
     def run(batches):
+        counts = [Counter() for _ in range(1 + len(TRAITS))]
+
+        def told():
+            found = list(counts[0])
+            columns = [pa.array([c[f] for f in found], pa.int64()) for c in counts]
+            return pa.RecordBatch.from_arrays([pa.array(found, pa.string()), *columns], names=["f", "n", *TRAITS])
+
         for batch in batches:
-            counts: dict[str, list[int]] = {}
             for text, *traits in zip(*(batch.column(c).to_pylist() for c in ("text", *TRAITS)), strict=True):
-                for f in features(text):
-                    row = counts.setdefault(f, [0] * (1 + len(TRAITS)))
-                    row[0] += 1
-                    for k, t in enumerate(traits):
-                        row[k + 1] += t
-            columns = list(zip(*counts.values(), strict=True)) or [[]] * (1 + len(TRAITS))
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), *[pa.array(c, pa.int64()) for c in columns]], names=["f", "n", *TRAITS])
+                found = features(text)
+                for counter, has in zip(counts, (1, *traits), strict=True):
+                    if has:
+                        counter.update(found)
+            if len(counts[0]) > _HELD:
+                yield told()
+                counts = [Counter() for _ in counts]
+        yield told()
 
     totals = labelled.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TRAITS]).first()
     counted = per_batch(labelled, run, "f string, n bigint, low bigint, toxic bigint").groupBy("f")
@@ -166,7 +202,7 @@ class Scorer:
     def __init__(self, weights: dict[str, list[float]]):
         self.weights = weights
         self.shapes = {f.split(" ", 1)[1] for f in weights if f[:1] == "s" and " " in f}
-        self.memo = Memo(300_000)
+        self.memo = Memo(_MEMO)
 
     def _of(self, words: list[str]) -> list[tuple]:
         out = []
@@ -183,13 +219,13 @@ class Scorer:
         out = []
         for words, counts, text in zip(split, counted, texts, strict=True):
             found = {f for f in text_features(words, counts, text or "") if f in self.weights}
-            shapes: Counter = Counter()
+            shapes: dict[str, int] = {}
             for word, n in counts.items():
                 known, s = get(word)
                 if known:
                     found.update(known)
                 if s is not None:
-                    shapes[s] += n
+                    shapes[s] = shapes.get(s, 0) + n
             found.update(f for f in shape_features(shapes, len(words)) if f in self.weights)
             out.append(found)
         return out
