@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from firmweave.llm.components import components
+from firmweave.llm.simhash_dedup import Forest
 from firmweave.llm.tables import bound_batches, per_batch, per_shard, settle, shards
 
 # Neighbours compared on each side, and passes: two vectors at cosine 0.98 differ in 6.4 % of signs, so one pass over n vectors of
@@ -65,14 +66,15 @@ def _projections(classes: DataFrame, passes: int, seed: int) -> DataFrame:
 
 
 def _found(projected: DataFrame, threshold: float, window: int) -> DataFrame:
-    """Pairs (``a``, ``b``) of classes at ``threshold`` or above within ``window`` places of one pass."""
+    """Links (``a``, ``b``) that connect all classes at ``threshold`` or above within ``window`` places of one pass.
+
+    Of the pairs of a segment only a spanning star of each group is sent on, so rows do not grow with the square of a group.
+    """
     order = ["pass", "label", "d", "key", "cid"]
     laid = projected.repartitionByRange(*order).sortWithinPartitions(*order)
     laid = laid.withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     laid = settle(laid, "projections")
     sizes = laid.groupBy("part").agg(F.count(F.lit(1)).alias("size"))  # one row per partition
-    from pyspark.sql import Window
-
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before")))
     placed = laid.join(offsets, "part").withColumn("place", F.col("before") + F.col("row"))
@@ -87,7 +89,7 @@ def _found(projected: DataFrame, threshold: float, window: int) -> DataFrame:
         own = int((table.column("place").to_numpy() // SEGMENT == segment).sum())
         groups = np.unique(np.array([f"{p}|{lab}|{d}" for p, lab, d in zip(*(table.column(c).to_pylist() for c in ("pass", "label", "d")), strict=True)]), return_inverse=True)[1]
         ids = table.column("cid").to_numpy()
-        a, b = [], []
+        forest = Forest(len(ids))
         for g in np.unique(groups[:own]):
             at = np.flatnonzero(groups == g)
             unit = _unit(_matrix(table.column("embedding").take(pa.array(at)), table.column("d")[int(at[0])].as_py()))
@@ -98,10 +100,9 @@ def _found(projected: DataFrame, threshold: float, window: int) -> DataFrame:
                 near = unit[lo:hi] @ unit[lo:stop].T >= threshold
                 i, j = np.nonzero(near)
                 ok = (j > i) & (j - i <= window)
-                a.append(ids[at[lo + i[ok]]])
-                b.append(ids[at[lo + j[ok]]])
-        none = np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.concatenate(a) if a else none), "b": pa.array(np.concatenate(b) if b else none)})
+                forest.union(at[lo + i[ok]], at[lo + j[ok]])
+        joined = np.flatnonzero(forest.root != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[joined]), "b": pa.array(ids[forest.root[joined]])})
 
     return placed.groupBy("segment").applyInArrow(lambda key, rows: run(key, rows), "a bigint, b bigint").distinct()
 
