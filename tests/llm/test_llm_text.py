@@ -6,6 +6,7 @@ import math
 import random
 import re
 import sys
+import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -18,7 +19,7 @@ import plain  # noqa: E402
 
 from firmweave.llm import decontaminate, kneser_ney, quality, sentencepiece_codec, token_counts  # noqa: E402
 from firmweave.llm.memo import Memo  # noqa: E402
-from firmweave.llm.queries import tokenizer_file  # noqa: E402
+from firmweave.llm.queries import QUERIES, tokenizer_file  # noqa: E402
 from firmweave.llm.tables import pack_sorted, unpack_sorted  # noqa: E402
 
 
@@ -76,6 +77,18 @@ def test_kneser_ney(spark, docs, order):
     assert "_chunk" in got.columns and got.columns.count("kept") == 1
 
 
+def test_language_model_query_uses_trigrams(spark):
+    """The registered query scores by a context of two words."""
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows]
+    got = sorted((r.doc_id, r.held_out, r.score) for r in QUERIES["op5_language_model"](spark, folder).collect())
+    scores = {order: sorted((i, h, s[-1]) for (i, _), h, s in zip(rows, held, plain_scores(rows, held, order), strict=True)) for order in (2, 3)}
+    assert [r[:2] for r in got] == [r[:2] for r in scores[3]]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in scores[3]])
+    assert [r[2] for r in got] != pytest.approx([r[2] for r in scores[2]])
+
+
 def test_probabilities_sum_to_one():
     less = kneser_ney.discounts([10, 5, 3, 2])
     assert all(0 < d < c for d, c in zip(less, (1, 2, 3), strict=True))
