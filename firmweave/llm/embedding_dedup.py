@@ -1,8 +1,9 @@
 """Embedding near-dedup by sorted projection passes.
 
 In each pass the vectors of a label are ordered by 64 concatenated random hyperplane signs and compared with a bounded window of
-neighbours; the pairs found in all passes are united. Equal vectors are one class throughout. Links inside a component are then
-counted in full, block by block, since in a dense group many links lie outside all windows.
+neighbours; the pairs found in all passes are united. What the windows leave apart is then compared in full, block by block within its
+label, so that no link is lost however alike a label's vectors are. Equal vectors are one class throughout. Links inside a component are
+counted in full, too, since in a dense group many links lie outside all windows.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from firmweave.llm.components import components
 from firmweave.llm.simhash_dedup import Forest
 from firmweave.llm.tables import bound_batches, per_batch, per_shard, settle, shards
 
-# Neighbours compared on each side, and passes: two vectors at cosine 0.98 differ in 6.4 % of signs, so one pass over n vectors of
-# a label misses them with probability 1 - 0.936 ** log2(n / WINDOW) about; twelve passes over 10 ** 9 find 93 % of such pairs.
+# Neighbours compared on each side, and passes. They unite most of what is near; results do not depend on them.
 PASSES = 12
 WINDOW = 64
 # Rows of a segment and vectors of a block; layout only.
 SEGMENT = 2048
 BLOCK = 1024
+REST_BLOCK = 2048
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -107,6 +108,39 @@ def _found(projected: DataFrame, threshold: float, window: int) -> DataFrame:
     return placed.groupBy("segment").applyInArrow(lambda key, rows: run(key, rows), "a bigint, b bigint").distinct()
 
 
+def _left_apart(classes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Links (``a``, ``b``) that connect, with those of ``roots``, all classes of a label and length at ``threshold`` or above.
+
+    A label is cut into blocks; each pair of blocks is compared in one place. Pairs of one component are not told again.
+    """
+    known = classes.join(roots, F.col("cid") == F.col("node"), "left")
+    known = known.select("label", F.size("embedding").alias("d"), "cid", F.coalesce("root", "cid").alias("root"), "embedding")
+    sizes = known.groupBy("label", "d").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("least"), F.max("root").alias("most"))
+    parts = F.ceil(F.col("size") / REST_BLOCK).cast("int")
+    part = F.pmod(F.xxhash64("cid"), parts).cast("int")
+    dealt = known.join(sizes.where("least <> most").select("label", "d", "size"), ["label", "d"])
+    dealt = dealt.select("label", "d", "cid", "root", "embedding", part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    dealt = dealt.select("label", "d", "cid", "root", "embedding", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), (F.col("part") > F.col("other")).cast("int").alias("side"))
+
+    def run(key, table):
+        table = table.sort_by("side")
+        ids, root, side = (table.column(c).to_numpy() for c in ("cid", "root", "side"))
+        unit = _unit(_matrix(table.column("embedding"), table.column("d")[0].as_py()))
+        forest = Forest(len(ids))
+        cut = int((side == 0).sum())
+        across = cut < len(ids)
+        for lo in range(0, cut, 256):
+            hi = min(cut, lo + 256)
+            first = cut if across else lo
+            near = (unit[lo:hi] @ unit[first:].T >= threshold) & (root[lo:hi, None] != root[None, first:])
+            i, j = np.nonzero(near)
+            forest.union(lo + i, first + j)
+        joined = np.flatnonzero(forest.root != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[joined]), "b": pa.array(ids[forest.root[joined]])})
+
+    return dealt.groupBy("label", "d", "low", "high").applyInArrow(lambda key, rows: run(key, rows), "a bigint, b bigint")
+
+
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
     """``cid`` and ``links``: for each class the vectors of other classes of its component that it links with directly.
 
@@ -159,7 +193,9 @@ def link_embeddings(vectors: DataFrame, threshold: float = 0.98, passes: int = P
     bound_batches(spark)
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
     classes = settle(_classes(rows), "vectors")
-    roots = components(_found(_projections(classes, passes, seed), threshold, window))
+    found = settle(_found(_projections(classes, passes, seed), threshold, window), "window_links")
+    rest = settle(_left_apart(classes, components(found), threshold), "rest_links")
+    roots = components(found.union(rest))
     members = classes.join(roots, F.col("cid") == F.col("node")).select("root", "cid", "copies", "first", "embedding")
     members = settle(members, "members")
     names = members.groupBy("root").agg(F.min("first").alias("name"))

@@ -253,5 +253,20 @@ def test_embedding_recall_with_narrow_windows(spark, monkeypatch):
     assert found >= 0.9 * linked > 300
 
 
+def test_embeddings_of_an_alike_label(spark, monkeypatch):
+    """All links are found where a label's vectors share a direction, whatever the windows hold."""
+    monkeypatch.setattr(embedding_dedup, "SEGMENT", 64)
+    monkeypatch.setattr(embedding_dedup, "REST_BLOCK", 100)
+    rng = np.random.default_rng(4)
+    rows, shared = [], 3 * rng.standard_normal(32) / np.sqrt(32)
+    for k in range(120):
+        v = shared + rng.standard_normal(32) / np.sqrt(32)
+        rows += [(2 * k, v.tolist(), 1), (2 * k + 1, (v + 0.6 * rng.standard_normal(32) / np.sqrt(32)).tolist(), 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = plain_links(rows)
+    assert sum(n for (_, d, _, _), n in want.items() if d) > 100
+    assert counted(embedding_dedup.link_embeddings(df, passes=2, window=2)) == want
+
+
 def test_embeddings_empty(spark):
     assert embedding_dedup.link_embeddings(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
