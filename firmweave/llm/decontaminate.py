@@ -219,5 +219,5 @@ def find_contamination(
 def clean_documents(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """Documents without any hit; the others go. Columns stay as they are."""
     safe = {c: f"_column{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
-    found = find_contamination(docs.withColumnsRenamed(safe), benchmark, size).where(F.col("n_hit") == 0)
+    found = find_contamination(docs.toDF(*[safe.get(c, c) for c in docs.columns]), benchmark, size).where(F.col("n_hit") == 0)
     return found.select(*[F.col(safe.get(c, c)).alias(c) for c in docs.columns])

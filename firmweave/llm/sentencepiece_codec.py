@@ -220,7 +220,9 @@ def encode_texts(docs: DataFrame, path: str, threads: int = 2) -> DataFrame:
     """``docs`` with ``ids``, the ids of the whole ``text``, without begin or end.
 
     ``path``: a SentencePiece model that every worker can read; ``threads`` of the backend a task. A null or empty text has no ids. Each
-    row is encoded by itself; other columns pass through, an ``ids`` column already there is replaced.
+    row is encoded by itself; other columns pass through, an ``ids`` column already there is replaced. Of a unigram model's
+    segmentations the one with the greatest sum of scores in double precision is taken; where two differ by less than float32
+    rounding, a library that sums in float32 may take the other. An empty table gives an empty result.
     """
     bound_batches(docs.sparkSession)
     others = [f for f in docs.schema if f.name != "ids"]

@@ -132,11 +132,14 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, who
 def clean_texts(docs: DataFrame, length: int = 50) -> DataFrame:
     """The columns of ``docs`` with repeated bytes taken out of ``text``; ``n_chars``, if there, counted anew.
 
-    A character of which a byte is removed goes as a whole, so texts stay UTF-8. A null text stays null.
+    A character of which a byte is removed goes as a whole, so texts stay UTF-8. A null text stays null. All other columns come
+    through with their values, whatever their names. An empty table gives an empty result.
     """
-    marked = docs.withColumn("_null", F.col("text").isNull())
+    safe = {c: f"_column{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    marked = docs.toDF(*[safe.get(c, c) for c in docs.columns]).withColumn("_null", F.col("text").isNull())
     found = remove_repeated_bytes(marked, length, whole_characters=True)
-    out = found.withColumn("text", F.when(~F.col("_null"), F.col("kept").cast("string")))
+    text = F.when(~F.col("_null"), F.col("kept").cast("string"))
+    columns = {c: text if c == "text" else F.col(safe.get(c, c)) for c in docs.columns}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        columns["n_chars"] = F.coalesce(F.char_length(text), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+    return found.select(*[value.alias(c) for c, value in columns.items()])

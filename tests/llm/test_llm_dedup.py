@@ -106,6 +106,26 @@ def test_clean_texts_keep_whole_characters(spark):
     assert got == {1: ("é" * 40, 40), 2: ("xz", 2), 3: (None, 0), 4: ("", 0)}
 
 
+def test_stages_keep_clashing_columns(spark):
+    """Columns named like added or internal ones come through each stage with their own values."""
+    import corpus_pipeline
+
+    names = "_null n_bytes n_removed n_spans spans kept _rest _chunk ids n_tokens round_trip decoded n_words n_hit items code component_id _column0".split()
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(i, "word " * i + f"own {i}", *[f"{n}{i}" for n in names]) for i in range(30)]
+    df = spark.createDataFrame(rows, schema)
+    sf = "/root/testdata/sf0.001"
+    for stage in (corpus_pipeline.simhash_near_dedup, corpus_pipeline.suffix_array_dedup, corpus_pipeline.benchmark_decontamination):
+        out = stage(spark, df, sf)
+        assert out.columns == df.columns
+        got = {r.doc_id: r for r in out.collect()}
+        assert got and all(r[n] == f"{n}{i}" for i, r in got.items() for n in names)
+    coded = corpus_pipeline.sentencepiece_coding(spark, df, sf)
+    added = ("ids", "n_tokens", "round_trip")
+    assert coded.columns == [f"source_{c}" if c in added else c for c in df.columns] + list(added)
+    assert all(r[f"source_{n}" if n in added else n] == f"{n}{r.doc_id}" for r in coded.collect() for n in names)
+
+
 @pytest.mark.parametrize("call", [substring_dedup.remove_repeated_words, suffix_array_dedup.remove_repeated_bytes, simhash_dedup.near_duplicates, suffix_array_dedup.clean_texts])
 def test_empty_tables(spark, call):
     assert call(spark.createDataFrame([], "doc_id long, text string, extra int")).count() == 0
@@ -157,41 +177,6 @@ def test_all_near_fingerprints_are_linked(spark, monkeypatch, part):
     assert plain.roots(len(codes), links) == plain.roots(len(codes), pairs)
 
 
-def plain_near_copies(texts):
-    split = [tuple(plain.words((t or "").translate(plain.LOWER))) for t in texts]
-    sets = [{w[i : i + 5] for i in range(max(1, len(w) - 4))} if w else set() for w in split]
-    near = [(a, b) for a in range(len(sets)) for b in range(a) if split[a] == split[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0]
-    return plain.roots(len(sets), near)
-
-
-@pytest.mark.parametrize("part", [1024, 5])
-def test_pipeline_drops_all_near_copies(spark, monkeypatch, part):
-    """Chains, dense groups and odd texts: the stage keeps the first document of each group that all pairs give."""
-    import corpus_pipeline
-    from firmweave.llm import near_copies
-
-    monkeypatch.setattr(near_copies, "PART", part)
-    monkeypatch.setattr(near_copies, "NEIGHBOURS", 1)
-    rng = random.Random(part)
-    texts = [None, "", " ", "One two", "one  TWO", "one two three four five", "one two three four six"]
-    common = [f"c{i}" for i in range(30)]
-    for g in range(12):
-        base = common * (g % 2) + [f"w{g}_{rng.randrange(400)}" for _ in range(rng.choice((12, 60, 200)))]
-        for _ in range(12):
-            text = list(base)
-            for _ in range(rng.randrange(8)):
-                text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
-            texts.append(" ".join(text))
-    docs = spark.createDataFrame([(i, t, "k") for i, t in enumerate(texts)], "doc_id long, text string, source string").repartition(3)
-    roots = plain_near_copies(texts)
-    least = {}
-    for i in range(len(texts)):
-        least.setdefault(roots[i], i)
-    kept = corpus_pipeline.simhash_near_dedup(spark, docs, "")
-    assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
-
-
 def vectors(seed: int = 1) -> list[tuple]:
     rng = np.random.default_rng(seed)
     rows = []
