@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmweave.llm.decontaminate import clean_documents
-from firmweave.llm.near_copies import first_of_near_copies
 from firmweave.llm.quality import accepted
 from firmweave.llm.queries import read, tokenizer_file
 from firmweave.llm.sentencepiece_codec import decode_ids, encode_texts
+from firmweave.llm.simhash_dedup import first_of_groups
 from firmweave.llm.suffix_array_dedup import clean_texts
 from firmweave.llm.tables import settle
 
@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies: five-word shingles, Jaccard similarity 0.8 or more."""
-    return first_of_near_copies(docs)
+    """The first document of each group linked by fingerprint: three-word shingles, three bits at most."""
+    return first_of_groups(docs)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +35,18 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def sentencepiece_coding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their ids; ``round_trip`` tells whether decoding gives the text back."""
+    """Documents with their ids; ``round_trip`` tells whether decoding gives the text back.
+
+    A column that is there already under the name of an added one is kept as ``source_<name>``.
+    """
     path = tokenizer_file("piece_bpe_32k.model")
-    coded = decode_ids(encode_texts(docs, path), path)
+    added = ["ids", "n_tokens", "round_trip"]
+    names = [f"source_{c}" if c in added else c for c in docs.columns]
+    safe = {c: c if c == "text" else f"_column{i}" for i, c in enumerate(docs.columns)}
+    coded = decode_ids(encode_texts(docs.toDF(*safe.values()), path), path)
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return coded.select(*docs.columns, "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("round_trip"))
+    kept = [F.col(safe[c]).alias(n) for c, n in zip(docs.columns, names, strict=True)]
+    return coded.select(*kept, "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("round_trip"))
 
 
 STAGES = [
