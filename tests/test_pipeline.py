@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import gzip
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
 import __spark_entry__ as contract
 from checks.compare import compare, duck
+from checks.oracles import ORACLES
+from checks.queries import QUERIES
 from firmweave.plans.run import run_pipeline
 from tests.test_sources import http, record
 
@@ -105,15 +111,28 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
+def test_entry_without_the_optional_parts(tmp_path):
+    """The contract imports and has all of the library's own queries in a copy without the optional subpackage."""
+    root = Path(contract.__file__).parent
+    for name in ("firmweave", "checks"):
+        shutil.copytree(root / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if (root / name).exists():
+            shutil.copy(root / name, tmp_path / name)
+    code = "import __spark_entry__ as c; print(len(c.queries()), len(c.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert said.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))]
+
+
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF, name).startswith("ok")
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(contract.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_other_queries_give_rows(spark, con, name):
     assert compare(spark, con, SF, name) not in ("rows=0",)
