@@ -13,6 +13,7 @@ from firmweave.llm.embedding_dedup import link_embeddings
 from firmweave.llm.kneser_ney import score_texts
 from firmweave.llm.quality import judge
 from firmweave.llm.sentencepiece_codec import decode_ids, encode_texts
+from firmweave.llm.sharding import assign_shards, number_slots, shard_salt
 from firmweave.llm.simhash_dedup import near_duplicates
 from firmweave.llm.substring_dedup import remove_repeated_words
 from firmweave.llm.suffix_array_dedup import remove_repeated_bytes
@@ -227,3 +228,52 @@ def op5_language_model(spark, sf_dir):
 def op7_quality_classifier(spark, sf_dir):
     judged = judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return judged.select("doc_id", "source", "lang", "p_low", "p_toxic", "rejected")
+
+
+# Shards of the sharding query, all of one weight.
+SHARDS = 24
+
+
+@query
+def op13_sharding(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    narrow = docs.select("doc_id", (F.length(text) + 8).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"))
+    sharded = assign_shards(assign_shards(narrow, [1.0] * SHARDS), [1.0] * (SHARDS + 1), out="grown_shard")
+    placed = number_slots(sharded, ["doc_id", "size", "text_crc32"])
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+#: CRC-32 of the bytes whose hexadecimal digits are ``{hex}``, as a DuckDB expression; ``crc`` holds its table.
+CRC_TABLE = """SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1
+        THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, CAST(i AS BIGINT))) AS t"""
+CRC_OF = """xor(list_reduce(list_transform(range(0, len({hex}), 2), lambda i: CAST(16 * (instr('0123456789ABCDEF', {hex}[i + 1]) - 1)
+        + instr('0123456789ABCDEF', {hex}[i + 2]) - 1 AS BIGINT)),
+        lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]), 4294967295), 4294967295)"""
+
+ORACLES["op13_sharding"] = f"""
+WITH crc AS (
+    {CRC_TABLE}
+), keyed AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents
+), bits AS (
+    SELECT r, doc_id, len(h) // 2 + 8 AS size, {CRC_OF.format(hex="h")} AS text_crc32,
+           CAST('0x' || d[1:8] AS BIGINT) AS a, CAST('0x' || d[9:16] AS BIGINT) AS b
+    FROM keyed, crc
+), salts AS (
+    SELECT unnest(range({SHARDS + 1})) AS i, unnest([{", ".join(str(shard_salt(i)) for i in range(SHARDS + 1))}]::BIGINT[]) AS salt
+), s1 AS (SELECT r, i, b, xor(a, salt) AS x FROM bits, salts
+), s2 AS (SELECT r, i, b, (xor(x, x >> 16) * 73244475) % 4294967296 AS x FROM s1
+), s3 AS (SELECT r, i, b, (xor(x, x >> 16) * 739982445) % 4294967296 AS x FROM s2
+), s4 AS (SELECT r, i, (xor(x, x >> 15) + b) % 4294967296 AS x FROM s3
+), s5 AS (SELECT r, i, (xor(x, x >> 16) * 73244475) % 4294967296 AS x FROM s4
+), s6 AS (SELECT r, i, (xor(x, x >> 16) * 739982445) % 4294967296 AS x FROM s5
+), draws AS (
+    SELECT r, i, xor(x, x >> 15) AS x FROM s6
+), best AS (
+    SELECT r, arg_max(i, x * 64 - i) FILTER (WHERE i < {SHARDS}) AS shard, arg_max(i, x * 64 - i) AS grown FROM draws GROUP BY r
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, CAST(grown AS INTEGER) AS grown_shard
+FROM bits JOIN best USING (r)
+"""
