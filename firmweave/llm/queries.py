@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firmweave.llm.chat_format import render_conversations
+from firmweave.llm.conversation_repair import damaged, repair_conversations
 from firmweave.llm.decontaminate import find_contamination
 from firmweave.llm.embedding_dedup import link_embeddings
 from firmweave.llm.kneser_ney import score_texts
@@ -277,3 +278,66 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
        row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, CAST(grown AS INTEGER) AS grown_shard
 FROM bits JOIN best USING (r)
 """
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair_conversations(damaged(turns), turns)
+
+
+ORACLES["op12_conversation_repair"] = rf"""
+WITH RECURSIVE crc AS (
+    {CRC_TABLE}
+), keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS h
+    FROM conversations
+), hit AS (
+    SELECT conv_id, turn, role, text, {CRC_OF.format(hex="h")} % 20 AS f FROM keyed, crc
+), kept AS (
+    SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM hit WHERE f <> 0
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), copy) AS k,
+           regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last_one
+    FROM kept
+), faults AS (
+    SELECT *, CASE WHEN last_one = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+                   WHEN last_one NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY k) || role[1:1] AS pair
+    FROM placed
+), ops(q, letter, t, need) AS (
+    VALUES (0, 'D', 0, ''), (1, 'D', 1, ''), (2, 'D', 2, ''), (3, 'D', 3, ''), (0, 'K', 1, 's'), (0, 'K', 2, 'u'), (1, 'K', 2, 'u'), (3, 'K', 2, 'u'),
+           (2, 'K', 3, 'a'), (0, 'R', 2, ''), (1, 'R', 2, ''), (3, 'R', 2, ''), (2, 'R', 3, '')
+), inserts(q, t, letters, lines) AS (
+    VALUES (0, 0, '', []::VARCHAR[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []), (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']),
+           (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']), (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:'])
+), paths AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS k, i.t AS q, {{'cost': 2 * length(letters), 'audit': letters, 'lines': lines}} AS best
+    FROM (SELECT DISTINCT conv_id FROM faults) JOIN inserts i ON i.q = 0
+    UNION ALL
+    SELECT p.conv_id, f.k, i.t, min({{'cost': p.best.cost + 2 * length(letters) + CASE letter WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+                                               + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END,
+                                     'audit': p.best.audit || letter || letters,
+                                     'lines': p.best.lines || CASE letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [role || ':' || text]
+                                              ELSE [CASE o.t WHEN 2 THEN 'user:' ELSE 'assistant:' END || text] END || i.lines}})
+    FROM paths p JOIN faults f ON f.k = p.k + 1 AND f.conv_id IS NOT DISTINCT FROM p.conv_id JOIN ops o ON o.q = p.q JOIN inserts i ON i.q = o.t
+    WHERE letter = 'D' OR (fault NOT IN ('blank', 'duplicate') AND need IN ('', role[1:1]))
+    GROUP BY p.conv_id, f.k, i.t
+), lengths AS (
+    SELECT conv_id, max(k) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+           count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+), ends AS (
+    SELECT l.*, e.best FROM lengths l JOIN (SELECT conv_id, k, min(best) AS best FROM paths WHERE q IN (0, 3) GROUP BY conv_id, k) e
+        ON e.k = l.n AND e.conv_id IS NOT DISTINCT FROM l.conv_id
+)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost, coalesce(best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
