@@ -12,6 +12,7 @@ from firmweave.llm.conversation_repair import damaged, repair_conversations
 from firmweave.llm.decontaminate import find_contamination
 from firmweave.llm.embedding_dedup import link_embeddings
 from firmweave.llm.kneser_ney import score_texts
+from firmweave.llm.lexical_search import search
 from firmweave.llm.quality import judge
 from firmweave.llm.sentencepiece_codec import decode_ids, encode_texts
 from firmweave.llm.sharding import assign_shards, number_slots, shard_salt
@@ -341,3 +342,36 @@ SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
        sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
 """
+
+
+@query
+def op11_lexical_search(spark, sf_dir):
+    return search(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+ORACLES["op11_lexical_search"] = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), held AS (
+    SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM words WHERE len(w) > 0
+), corpus AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM held
+), tfs AS (
+    SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM held) GROUP BY r, term
+), asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), weighed AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), corpus
+), lengths AS (
+    SELECT r, doc_id, 50 + (50 * n * docs) // terms AS m FROM held, corpus
+), scores AS (
+    SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM asked JOIN tfs USING (term) JOIN weighed USING (term) JOIN lengths USING (r) GROUP BY item_id, r, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) <= 50
+"""
