@@ -53,6 +53,7 @@ class Grams:
             real[(begin[:-1, None] + np.arange(pad)).ravel()] = False
         self.at = np.flatnonzero(real)  # tokens to be scored, text by text
         self.train = np.repeat(~self.held_out, self.n_tokens)
+        self.heads = np.cumsum(self.n_tokens) - self.n_tokens
 
     def ending(self, k: int, at: np.ndarray) -> np.ndarray:
         """Hashes of the k-grams that end at places ``at``."""
@@ -65,10 +66,12 @@ class Grams:
         if k == order:
             keys, own = np.unique(self.ending(k, self.at), return_inverse=True)
             return keys, own, own
-        # A text begins with more begins than a context has tokens, so no gram reaches into the text before.
-        hashes = np.concatenate([self.ending(k, self.at), self.ending(k, self.at - 1)])
-        keys, inverse = np.unique(hashes, return_inverse=True)
-        return keys, inverse[: len(self.at)], inverse[len(self.at) :]
+        # A text begins with more begins than a context has tokens, so no gram reaches into the text before. The context of a token
+        # ends where the token before it ends: only those of first tokens are places of their own.
+        places = np.unique(np.concatenate([self.at, self.at[self.heads] - 1])) if len(self.at) else self.at
+        keys, inverse = np.unique(self.ending(k, places), return_inverse=True)
+        own = np.searchsorted(places, self.at)
+        return keys, inverse[own], inverse[own - 1]
 
 
 def _rows(key, keys: np.ndarray, columns: dict[str, np.ndarray], n_shards: int) -> pa.Table:
@@ -178,8 +181,7 @@ def _answer(key, table):
         for f, v in zip(out, (kind, chunk, packed, owners, *[_small(r) for r in rows], told), strict=True):
             out[f].append(v)
 
-    trained = np.flatnonzero((count > 0) | (values[2] > 0))
-    put("model", None, pack_sorted(np.asarray(keys[trained])), b"", np.asarray(values[:, trained]), stats)
+    put("stats", None, b"", b"", np.zeros((len(_FIELDS), 0), np.int64), stats)
     end = 0
     for h, chunk in zip(hashes, table.column("_chunk").to_pylist(), strict=True):
         at = np.searchsorted(keys, h)
@@ -226,10 +228,8 @@ def _score(order: int, n_shards: int, stats: dict[int, list[int]], schema: Struc
             safe = np.where(known, total, 1.0)
             p = np.where(known, np.maximum(c - less, 0) / safe + spare / safe * p, p)
             context = {f: here[f][before] for f in ("total", "n1", "n2", "n3")}
-        heads = np.cumsum(g.n_tokens) - g.n_tokens
-
         def by_text(x):
-            return np.add.reduceat(x, heads) if len(heads) else x
+            return np.add.reduceat(x, g.heads) if len(g.heads) else x
 
         base = np.log10((raw + 1) / (tokens + vocabulary + 1))
         made = [table.column("_id"), pa.array(g.held_out), pa.array(g.n_tokens), pa.array(by_text((raw > 0).astype(np.int64))), pa.array(by_text(base)), pa.array(by_text(np.log10(p)))]
@@ -268,7 +268,7 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
             asked = per_chunk_with(narrow, told.where(F.col("level") == k + 1), _ask_lower(k, order, n), _ASK)
         level = settle(per_shard(asked, _answer, _TOLD), f"kneser_ney_{k}")
         sums = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"s{i}") for i in range(8)]
-        stats[k] = list(level.where("kind = 'model'").agg(*sums).first())  # one row
+        stats[k] = list(level.where("kind = 'stats'").agg(*sums).first())  # one row
         answers = level.where("kind = 'told'").drop("kind", "hashes", "stats").withColumn("level", F.lit(k))
         told = answers if told is None else told.unionByName(answers)
     schema = StructType(

@@ -29,11 +29,12 @@ from firmweave.llm.tables import bound_batches, per_batch, settle
 
 # Bytes of the terms of a block of items.
 ITEM_BYTES = 4 << 20
-# Documents of a block of a stratum; strata of an item's pilot; text bytes split at once; sums made at once. Layout only.
+# Documents of a block of a stratum; strata of an item's pilot; text bytes split at once; sums made at once; strata of several blocks that may be broadcast. Layout only.
 STRATUM_DOCS = 4096
 PILOT = 16
 SLICE = 1 << 20
 _AT_ONCE = 1 << 20
+LARGE_STRATA = 1_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -222,7 +223,12 @@ def build_index(forward: DataFrame, documents: int, terms: int) -> DataFrame:
     m = F.lit(50) + F.expr(f"(50 * n * {documents}L) div {max(1, terms)}L")
     asked = forward.where(F.length("terms") > 1).select("doc_id", m.alias("m"), "terms", "counts", F.monotonically_increasing_id().alias("row"))
     sizes = asked.groupBy("m").agg(F.ceil(F.count(F.lit(1)) / STRATUM_DOCS).cast("bigint").alias("blocks"))
-    dealt = asked.join(sizes, "m").select("doc_id", "m", F.pmod(F.xxhash64("row"), F.col("blocks")).alias("block"), "terms", "counts")
+    # Only strata of several blocks need to know how many; a stratum is a length, so they are few, but that is checked.
+    large = settle(sizes.where("blocks > 1"), "search_strata")
+    joined = asked.join(F.broadcast(large) if large.count() <= LARGE_STRATA else large, "m", "left")
+    block = F.pmod(F.xxhash64("row"), F.coalesce("blocks", F.lit(1)).cast("bigint"))
+    # Dealt by both, whatever the join has dealt by: a hot stratum must not stay in one task.
+    dealt = joined.select("doc_id", "m", block.alias("block"), "terms", "counts").repartition("m", "block")
     return dealt.groupBy("m", "block").applyInArrow(lambda key, rows: _stratum(key, rows), _INDEX)
 
 

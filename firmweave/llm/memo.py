@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
+_ALL: weakref.WeakSet = weakref.WeakSet()
+
+
+def forget(but: str | None = None) -> None:
+    """Empty this worker's memos, but for those of one group: workers live on from one operator to the next."""
+    for memo in list(_ALL):
+        if memo.group != but and (memo.young or memo.old):
+            memo.young, memo.old = {}, {}
+
 
 class Memo:
     """Two generations: when the young one is full it becomes the old one; what is used again moves back. So frequent
-    strings stay, and at most ``size`` are held beside those of the current call."""
+    strings stay, and at most ``size`` are held beside those of the current call. Only memos of one ``group`` hold anything at a time."""
 
-    def __init__(self, size: int, longest: int = 64):
-        self.size, self.longest = size, longest
+    def __init__(self, size: int, longest: int = 64, group: str = ""):
+        self.size, self.longest, self.group = size, longest, group
+        _ALL.add(self)
         self.young: dict = {}
         self.old: dict = {}
 
     def lookup(self, strings: set[str], compute: Callable[[list[str]], list]) -> dict:
         """A mapping that holds all of ``strings``; ``compute`` gives the values of new ones. Valid until the next call."""
+        if not self.young:
+            forget(but=self.group)
         if len(self.young) > self.size // 2:
             self.old, self.young = self.young, {}
         # One look for each string: set differences with a dictionary would walk through all of it.

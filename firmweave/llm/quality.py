@@ -96,7 +96,7 @@ def shape_features(shapes: dict[str, int], total: int) -> list[str]:
     return [f"s{least} {s}" for s, n in shapes.items() for least in _SHARES if n >= least * total]
 
 
-_SEEN = Memo(_MEMO)
+_SEEN = Memo(_MEMO, group="quality")
 
 
 def _word(words: list[str]) -> list[tuple]:
@@ -202,7 +202,7 @@ class Scorer:
     def __init__(self, weights: dict[str, list[float]]):
         self.weights = weights
         self.shapes = {f.split(" ", 1)[1] for f in weights if f[:1] == "s" and " " in f}
-        self.memo = Memo(_MEMO)
+        self.memo = Memo(_MEMO, group="quality")
 
     def _of(self, words: list[str]) -> list[tuple]:
         out = []

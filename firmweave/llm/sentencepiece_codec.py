@@ -146,7 +146,7 @@ class Codec:
         self.model = model
         self.tokenizer = build_backend(model)
         self.separate = words_are_separate(model)
-        self.memo = Memo(_MEMO)
+        self.memo = Memo(_MEMO, group="codec")
         unknown = " ⁇ "  # what the format writes for the unknown piece (fixed value)
         surface = []
         for piece, _, kind in model.pieces:

@@ -103,6 +103,7 @@ def number_slots(sharded: DataFrame, order: Sequence[str] = ("doc_id",), shard:
     kept = [c for c in sharded.columns if c != out]
     safe = {c: f"_c{i}" for i, c in enumerate(kept)}
     rows = sharded.select(*[F.col(f"`{c}`").alias(safe[c]) for c in kept], F.monotonically_increasing_id().alias("_tie"))
+    rows = settle(rows, "unplaced")  # ranges are sampled before rows are moved: ``sharded`` is computed once for both
     by = [safe[shard], *[safe[c] for c in order], "_tie"]
     laid = rows.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
     laid = settle(laid.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), "slots")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from firmweave.llm.components import components
+from firmweave.llm.memo import forget
 from firmweave.llm.tables import Texts, bound_batches, per_batch, per_shard, settle, shards
 from firmweave.llm.words import WHITE, word_bounds
 
@@ -204,6 +205,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     bound_batches(docs.sparkSession)
 
     def run(batches):
+        forget()
         for batch in batches:
             table = pa.Table.from_batches([batch])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprints(Texts(table), shingle).view(np.int64))], names=["doc_id", "code"])

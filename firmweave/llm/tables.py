@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from firmweave.llm.memo import forget
 from firmweave.session import ensure_checkpoint_dir
 
 # Text bytes of a chunk, and bytes of an Arrow batch: layout only, results do not depend on them.
@@ -49,7 +50,10 @@ def give_back() -> None:
         _TRIM(0)
 
 
-def _given_back(result: pa.Table) -> pa.Table:
+def _lightly(fn, *args) -> pa.Table:
+    """The result of a task's function; memos of operators before are emptied first, freed memory is handed back after."""
+    forget()
+    result = fn(*args)
     give_back()
     return result
 
@@ -121,19 +125,19 @@ def per_batch(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 def per_chunk(chunks: DataFrame, fn: Rows, schema: str | StructType) -> DataFrame:
     """``fn(key, rows)`` for each chunk."""
-    return chunks.groupBy("_chunk").applyInArrow(lambda key, rows: _given_back(fn(key, rows)), schema)
+    return chunks.groupBy("_chunk").applyInArrow(lambda key, rows: _lightly(fn, key, rows), schema)
 
 
 def per_chunk_with(chunks: DataFrame, answers: DataFrame, fn, schema: str | StructType) -> DataFrame:
     """``fn(key, rows, answers)`` for each chunk; only the answers are shuffled."""
     return chunks.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(
-        lambda key, rows, told: _given_back(fn(key, rows, told)), schema
+        lambda key, rows, told: _lightly(fn, key, rows, told), schema
     )
 
 
 def per_shard(asked: DataFrame, fn: Rows, schema: str | StructType) -> DataFrame:
     """``fn(key, rows)`` for each shard."""
-    return asked.groupBy("shard").applyInArrow(lambda key, rows: _given_back(fn(key, rows)), schema)
+    return asked.groupBy("shard").applyInArrow(lambda key, rows: _lightly(fn, key, rows), schema)
 
 
 def shard_of(keys: np.ndarray, n: int) -> np.ndarray:

@@ -48,7 +48,7 @@ class Counter:
     def __init__(self, tokenizer, stable: bool, huge: int = HUGE, chunk: int = CHUNK, overlap: int = OVERLAP):
         self.tokenizer, self.stable = tokenizer, stable
         self.huge, self.chunk, self.overlap = huge, chunk, overlap
-        self.memo = Memo(_MEMO)
+        self.memo = Memo(_MEMO, group="tokens")
 
     @classmethod
     def load(cls, path: str, **sizes) -> Counter:
