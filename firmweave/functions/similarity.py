@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firmweave.functions.matching_blocks import ratios
+
 # Symbols that get a counter of their own in the bit masks: 6 bits each, 10 to a long.
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 "
 _BITS = 6
@@ -19,22 +18,14 @@ EPSILON = 1e-9
 
 
 def _ratio_udf():
-    def ratios(left: pd.Series, right: pd.Series) -> pd.Series:
-        # The matcher indexes its second text, so pairs are visited by it.
-        out = np.zeros(len(left))
-        a, b = left.to_numpy(dtype=object), right.to_numpy(dtype=object)
-        matcher, held = SequenceMatcher(None), None
-        for i in right.argsort(kind="stable"):
-            if b[i] != held:
-                held = b[i]
-                matcher.set_seq2(held)
-            matcher.set_seq1(a[i])
-            out[i] = matcher.ratio()
-        return pd.Series(out)
+    def whole_batch(left: pd.Series, right: pd.Series) -> pd.Series:
+        null = (left.isna() | right.isna()).to_numpy()
+        out = ratios(left.fillna("").tolist(), right.fillna("").tolist())
+        return pd.Series(out).mask(null)
 
     # Not deterministic in Spark's terms: otherwise a filter on the ratio is evaluated early,
     # on pairs that are not distinct yet, and once more for the column.
-    return F.pandas_udf(ratios, T.DoubleType()).asNondeterministic()
+    return F.pandas_udf(whole_batch, T.DoubleType()).asNondeterministic()
 
 
 def ratio(site_name: Column, register_name: Column) -> Column:

@@ -22,6 +22,7 @@ from firmweave.functions.scoring import (
 from firmweave.operators.numbering import dense_ids
 from firmweave.operators.similarity_join import GROUP_ROWS, Measure, best_pairs, candidate_pairs
 from firmweave.operators.skew import spread_join
+from firmweave.operators.top_join import top_pairs
 from firmweave.schemas import CONFIDENCE, MATCH_COLUMNS, MATCHES
 from firmweave.session import cut_lineage
 
@@ -184,7 +185,7 @@ def top_candidates(
     entries = cut_lineage(_first_entries(registry, k))
     names = entries.select("name").distinct()
     measure = Measure("ratio", floor)
-    pairs = best_pairs(candidate_pairs(counted.select("name"), names, measure, group_rows=group_rows), measure, k, below)
+    pairs = top_pairs(counted.select("name"), names, measure, k, below, group_rows=group_rows)
 
     order = Window.partitionBy("name").orderBy(F.col("similarity").desc(), F.col("abn"))
     ranked = (

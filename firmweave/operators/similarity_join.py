@@ -18,16 +18,17 @@ sees does not grow with the data. The same counts give the fan-out of hot tokens
 
 from __future__ import annotations
 
-import heapq
 import math
 from dataclasses import dataclass
-from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from firmweave.functions.matching_blocks import ratios
 from firmweave.functions.similarity import (
     EPSILON,
     MASKS,
@@ -47,22 +48,19 @@ SHARES = 8
 class Measure:
     """What a similarity floor implies for a pair of lengths.
 
-    ``least`` is the least number of matched characters, as a real number that is
-    the sum (or maximum) of one stored value per side: integers are compared
-    with it directly, so the join condition needs no rounding and no division.
+    ``floor`` holds for all pairs; a site may have a higher one of its own, its ``low``.
+    ``least`` is the least number of matched characters, as a real number: integers are
+    compared with it directly, so the join condition needs no rounding and no division.
     """
 
     name: str
     floor: float
 
-    def stored(self, length: Column) -> Column:
-        """The value a row keeps for ``least``."""
-        return length * F.lit(self.floor / 2 if self.name == "ratio" else self.floor)
-
     def least(self, left: str, right: str) -> Column:
-        a, b = F.col(f"{left}.part"), F.col(f"{right}.part")
+        """``left`` is the site, whose floor counts."""
+        a, b = F.col(f"{left}.len"), F.col(f"{right}.len")
         total = a + b if self.name == "ratio" else F.greatest(a, b)
-        return total - F.lit(EPSILON)
+        return total * F.col(f"{left}.part") - F.lit(EPSILON)
 
     def may_match(self, left: str, right: str, q: int) -> Column:
         """Lengths, positions and ranks of a shared token that a matching pair can have."""
@@ -93,14 +91,13 @@ class Measure:
             return F.least(bound, 1 - edits / (F.length(a) + F.length(b)))
         return F.least(bound, 1 - edits / F.greatest(F.length(a), F.length(b)))
 
-    def least_need(self, length: Column, q: int) -> Column:
-        """Lower bound, over all partners that fit, of the tokens a pair must share."""
-        f = self.floor
+    def least_need(self, length: Column, q: int, f: Column) -> Column:
+        """Lower bound, over all partners that fit the floor ``f``, of the tokens a pair must share."""
         if self.name == "ratio":
-            shortest = length * F.lit(1 + f / (2 - f))
-            low = shortest * F.lit(f / 2 - (q - 1) * (1 - f)) - F.lit(q - 1)
+            shortest = length * (1 + f / (2 - f))
+            low = shortest * (f / 2 - (q - 1) * (1 - f)) - F.lit(q - 1)
         else:
-            low = length * F.lit(f - (q - 1) * (1 - f)) - F.lit(q - 1)
+            low = length * (f - (q - 1) * (1 - f)) - F.lit(q - 1)
         return F.greatest(F.lit(1), F.ceil(low - F.lit(1e-6)).cast("int"))
 
     def token_size(self) -> int:
@@ -166,8 +163,9 @@ def _fan_out(counts: list[int], group_rows: int) -> list[int]:
 def _prefix_rows(names: DataFrame, q: int, measure: Measure, order: list[int]) -> DataFrame:
     """One row for each token in the prefix of a name, with all that the join checks."""
     masks, over = count_masks("name")
-    measured = names.select("name", F.length("name").alias("len")).withColumns(masks).withColumn("over", over)
-    measured = measured.withColumn("part", measure.stored(F.col("len")))
+    low = F.col("low") if "low" in names.columns else F.lit(measure.floor)
+    measured = names.select("name", F.length("name").alias("len"), low.cast("double").alias("low")).withColumns(masks).withColumn("over", over)
+    measured = measured.withColumn("part", F.col("low") / (2 if measure.name == "ratio" else 1))
     size = F.col("len") - (q - 1)
     positions = F.when(size >= 1, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
 
@@ -176,13 +174,13 @@ def _prefix_rows(names: DataFrame, q: int, measure: Measure, order: list[int]) -
         return F.struct(_lookup(order, gram).alias("rows"), gram.alias("token"), p.alias("pos"))
 
     ordered = F.array_sort(F.transform(positions, token))
-    taken = F.slice(ordered, F.lit(1), F.greatest(F.lit(0), size - measure.least_need(F.col("len"), q) + 1))
+    taken = F.slice(ordered, F.lit(1), F.greatest(F.lit(0), size - measure.least_need(F.col("len"), q, F.col("low")) + 1))
     # The outer form spares the filter that Spark would add, which sorts the tokens twice.
     exploded = measured.withColumn("_taken", taken).select(
-        "name", "len", "part", *MASKS, "over", F.posexplode_outer("_taken").alias("rank", "_t")
+        "name", "len", "low", "part", *MASKS, "over", F.posexplode_outer("_taken").alias("rank", "_t")
     )
     return exploded.select(
-        "name", "len", "part", *MASKS, "over", "rank", F.col("_t.token").alias("token"), F.col("_t.pos").alias("pos")
+        "name", "len", "low", "part", *MASKS, "over", "rank", F.col("_t.token").alias("token"), F.col("_t.pos").alias("pos")
     ).filter(F.col("token").isNotNull())
 
 
@@ -202,12 +200,13 @@ def candidate_pairs(
     first_letter: bool = False,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Pairs (site_name, register_name, bound, share) that may reach the floor; none that does is missing.
+    """Pairs (site_name, register_name, low, bound, share) that may reach the site's floor; none that does is missing.
 
     ``bound`` is an upper bound of the similarity. Pairs are laid out by site and ``share``, a
     hash of the register name, so that a site with very many pairs is scored by several tasks.
 
-    Both inputs hold distinct, non-empty names in column ``name``. ``first_letter``
+    Both inputs hold distinct, non-empty names in column ``name``; ``sites`` may hold floors of their
+    own in ``low``, not below the measure's. ``first_letter``
     asks for equal first letters in addition (a documented shortcut that loses pairs).
     """
     q = measure.token_size()
@@ -236,6 +235,7 @@ def candidate_pairs(
     pairs = left.join(right, condition, "inner").select(
         F.col("s.name").alias("site_name"),
         F.col("r.name").alias("register_name"),
+        F.col("s.low").alias("low"),
         measure.bound(shared, "s", "r").alias("bound"),
         F.pmod(F.xxhash64("r.name"), F.lit(SHARES)).alias("share"),
     )
@@ -244,10 +244,10 @@ def candidate_pairs(
     once = (
         pairs.repartition(tasks, "site_name", "share")
         .groupBy("site_name", "register_name", "share")
-        .agg(F.max("bound").alias("bound"))
+        .agg(F.max("bound").alias("bound"), F.max("low").alias("low"))
     )
     return once.withColumn("bound", measure.tighter(F.col("bound"))).filter(
-        F.col("bound") >= measure.floor - EPSILON
+        F.col("bound") >= F.col("low") - EPSILON
     )
 
 
@@ -264,38 +264,63 @@ def similar_pairs(
     return scored.filter(F.col("similarity") >= measure.floor)
 
 
-def best_pairs(pairs: DataFrame, measure: Measure, k: int, below: float | None = None) -> DataFrame:
+def best_pairs(pairs: DataFrame, measure: Measure, k: int, below: float | None = None, scored: Accumulator | None = None) -> DataFrame:
     """Pairs (site_name, register_name, similarity) among which are the k best of every site, ties included.
 
     Takes what ``candidate_pairs`` gives. Each task goes through the pairs of a site by falling
-    bound and leaves out those whose bound is lower than its k-th best similarity so far: they cannot
-    be results. Only pairs within floor and ``below`` are kept and counted.
+    bound, in waves over all its sites, and leaves out those whose bound is lower than the k-th best similarity
+    so far: they cannot be results. Only pairs within floor and ``below`` are kept and counted. ``scored``
+    counts the pairs whose similarity is computed.
     """
     floor = measure.floor
     if measure.name != "ratio":
-        scored = pairs.select("site_name", "register_name", F.col("bound").alias("similarity"))
+        done = pairs.select("site_name", "register_name", F.col("bound").alias("similarity"))
         usable = F.col("similarity") >= floor
-        return scored.filter(usable if below is None else usable & (F.col("similarity") < below))
+        return done.filter(usable if below is None else usable & (F.col("similarity") < below))
 
     def score(batches):
-        matcher, site, best = SequenceMatcher(None), None, []
+        last, carried = None, np.full(k, -1.0)
         for batch in batches:
-            kept = []
-            for name, other, bound in zip(batch["site_name"], batch["register_name"], batch["bound"]):
-                if name != site:
-                    site, best = name, []
-                    matcher.set_seq1(site)
-                if len(best) == k and bound < best[0] - EPSILON:
-                    continue
-                matcher.set_seq2(other)
-                value = matcher.ratio()
-                if value >= floor and (below is None or value < below):
-                    kept.append((name, other, value))
-                    if len(best) < k:
-                        heapq.heappush(best, value)
-                    else:
-                        heapq.heappushpop(best, value)
-            yield pd.DataFrame(kept, columns=["site_name", "register_name", "similarity"])
+            site, other, bound = (batch[c].to_numpy() for c in ("site_name", "register_name", "bound"))
+            if not len(site):
+                continue
+            new = np.ones(len(site), bool)
+            new[1:] = site[1:] != site[:-1]
+            heads = np.flatnonzero(new)
+            ends = np.append(heads[1:], len(site))
+            best = np.full((len(heads), k), -1.0)
+            if site[0] == last:
+                best[0] = carried
+            values, at, wave = np.full(len(site), -1.0), heads.copy(), max(2, k)
+            while True:
+                # Sites with pairs left whose bound still reaches their k-th best.
+                going = np.flatnonzero(at < ends)
+                going = going[bound[at[going]] >= best[going, -1] - EPSILON]
+                if not len(going):
+                    break
+                sizes = np.minimum(wave, ends[going] - at[going])
+                owner = np.repeat(going, sizes)
+                rows = np.repeat(at[going], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                fine = bound[rows] >= best[owner, -1] - EPSILON
+                owner, rows = owner[fine], rows[fine]
+                found = ratios(site[rows].tolist(), other[rows].tolist())
+                if scored is not None:
+                    scored.add(len(rows))
+                found[(found < floor) | (found >= (np.inf if below is None else below))] = -1.0
+                values[rows] = found
+                # The k best of each site: those it had and the best of the wave.
+                order = np.lexsort((-found, owner))
+                owner, found = owner[order], found[order]
+                place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+                top = place < k
+                more = np.full((len(heads), k), -1.0)
+                more[owner[top], place[top]] = found[top]
+                best[going] = -np.sort(-np.concatenate([best[going], more[going]], axis=1), axis=1)[:, :k]
+                at[going] += sizes
+                wave *= 2
+            last, carried = site[-1], best[-1]
+            kept = values >= 0
+            yield pd.DataFrame({"site_name": site[kept], "register_name": other[kept], "similarity": values[kept]})
 
     fields = [("site_name", T.StringType()), ("register_name", T.StringType()), ("similarity", T.DoubleType())]
     schema = T.StructType([T.StructField(name, kind) for name, kind in fields])
