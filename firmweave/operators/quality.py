@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from firmweave.operators.skew import spread_join
 from firmweave.schemas import DATA_SOURCES, MATCH_METHODS
-from firmweave.sources.tables import table_versions
+from firmweave.sources.tables import has_table
 
 
 def not_unique(df: DataFrame, *columns: str) -> DataFrame:
@@ -176,4 +176,4 @@ def one_per_pair(matches: DataFrame) -> DataFrame:
 
 def missing_tables(spark: SparkSession, root: str, names: list[str]) -> list[str]:
     """Tables of which no version under ``root`` was written to the end."""
-    return [name for name in names if not table_versions(spark, f"{root}/{name}")]
+    return [name for name in names if not has_table(spark, root, name)]

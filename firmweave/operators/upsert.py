@@ -25,26 +25,35 @@ def latest_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
     )
 
 
-def upsert_registry(current: DataFrame, incoming: DataFrame, order: Column, now: Column) -> DataFrame:
-    """Register rows by abn: a new row replaces the old one whole; the last of several wins."""
+def latest_registry(incoming: DataFrame, order: Column) -> DataFrame:
+    """The last of several incoming register rows of an abn."""
+    columns = [name for name in REGISTRY.names if name not in ("abn", "loaded_at")]
+    return latest_per_key(incoming.select("abn", *columns, order.alias("_order")), "abn", F.col("_order")).drop("_order")
+
+
+def merge_registry(current: DataFrame, fresh: DataFrame, now: Column) -> DataFrame:
+    """``current`` with ``fresh`` rows (one an abn) in place of its own."""
     columns = [name for name in REGISTRY.names if name not in ("abn", "loaded_at")]
-    fresh = latest_per_key(incoming.select("abn", *columns, order.alias("_order")), "abn", F.col("_order"))
     new = fresh.select("abn", F.struct(*columns).alias("_new"))
     old = current.select("abn", F.struct(*columns).alias("_old"), F.col("loaded_at"))
     merged = old.join(new, "abn", "full_outer").withColumn("_row", F.coalesce("_new", "_old"))
     loaded = F.when(F.col("_new").isNotNull(), now).otherwise(F.col("loaded_at"))
-    rows = merged.select("abn", "_row.*", loaded.alias("loaded_at"))
-    return rows.select(*REGISTRY.names)
+    return merged.select("abn", "_row.*", loaded.alias("loaded_at")).select(*REGISTRY.names)
 
 
-def upsert_crawl(current: DataFrame, incoming: DataFrame, order: Column, now: Column) -> DataFrame:
-    """Crawl rows by website_url: listed columns refreshed, id and warc_file_path kept.
+def upsert_registry(current: DataFrame, incoming: DataFrame, order: Column, now: Column) -> DataFrame:
+    """Register rows by abn: a new row replaces the old one whole; the last of several wins."""
+    return merge_registry(current, latest_registry(incoming, order), now)
 
-    New sites get the ids after the highest present one, in order of their address.
-    """
+
+def latest_crawl(incoming: DataFrame, order: Column) -> DataFrame:
+    """The last of several incoming rows of an address, written once: reading and parsing pages is the costly part."""
     shaped = incoming.select("website_url", *CRAWL_REFRESHED, order.alias("_order"))
-    # Written once: reading and parsing pages is the costly part, and two plans need the result.
-    fresh = cut_lineage(latest_per_key(shaped, "website_url", F.col("_order")).drop("_order"))
+    return cut_lineage(latest_per_key(shaped, "website_url", F.col("_order")).drop("_order"))
+
+
+def merge_crawl(current: DataFrame, fresh: DataFrame, now: Column, highest: Column) -> DataFrame:
+    """``current`` refreshed by ``fresh`` rows (one an address); new sites get the ids after ``highest``, in order of their address."""
     updates = fresh.select("website_url", F.struct(*CRAWL_REFRESHED).alias("_new"))
     joined = current.join(updates, "website_url", "left")
     hit = F.col("_new").isNotNull()
@@ -55,10 +64,18 @@ def upsert_crawl(current: DataFrame, incoming: DataFrame, order: Column, now: Co
         "warc_file_path",
         F.when(hit, now).otherwise(F.col("loaded_at")).alias("loaded_at"),
     )
-    # The ids of new rows start after one aggregate value, read as a scalar subquery.
-    highest = current.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).scalar()
     unseen = fresh.join(current.select("website_url"), "website_url", "left_anti")
     new = dense_ids(unseen, [F.col("website_url")], "id").withColumns(
         {"id": F.col("id") + highest, "warc_file_path": F.lit(None).cast("string"), "loaded_at": now}
     )
     return known.select(*CRAWL.names).unionByName(new.select(*CRAWL.names))
+
+
+def upsert_crawl(current: DataFrame, incoming: DataFrame, order: Column, now: Column) -> DataFrame:
+    """Crawl rows by website_url: listed columns refreshed, id and warc_file_path kept.
+
+    New sites get the ids after the highest present one, in order of their address.
+    """
+    # The ids of new rows start after one aggregate value, read as a scalar subquery.
+    highest = current.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).scalar()
+    return merge_crawl(current, latest_crawl(incoming, order), now, highest)

@@ -30,17 +30,16 @@ class Report:
 def load_pages(spark: SparkSession, root: str, lines: DataFrame) -> DataFrame:
     """Upsert page rows that carry a ``load_order`` into the crawl table."""
     rows = load.crawl_rows(lines, keep=("load_order",))
-    current = tables.read_table(spark, root, "crawl")
-    merged = upsert.upsert_crawl(current, rows, F.col("load_order"), F.current_timestamp())
-    return tables.write_table(merged, root, "crawl")
+    fresh = upsert.latest_crawl(rows, F.col("load_order"))
+    now = F.current_timestamp()
+    return tables.upsert_table(spark, root, "crawl", fresh, lambda current, highest: upsert.merge_crawl(current, fresh, now, F.lit(highest)))
 
 
 def load_register(spark: SparkSession, root: str, xml_path: str) -> DataFrame:
     """Upsert register files into the registry table."""
     rows = load.registry_rows(register_xml.read_register(spark, xml_path), keep=("load_order",))
-    current = tables.read_table(spark, root, "registry")
-    merged = upsert.upsert_registry(current, rows, F.col("load_order"), F.current_timestamp())
-    return tables.write_table(merged, root, "registry")
+    fresh = cut_lineage(upsert.latest_registry(rows, F.col("load_order")))
+    return tables.upsert_table(spark, root, "registry", fresh, lambda current, _: upsert.merge_registry(current, fresh, F.current_timestamp()))
 
 
 def extract_to_lines(
@@ -95,8 +94,7 @@ def run_matching(
     current = tables.read_table(spark, root, "matches")
     new, attempts = match.match_all(crawl, registry, strategy, limits, scorer, current)
     valid, quarantined = quality.split_valid_matches(new, crawl, registry)
-    merged = match.append_matches(current, valid, F.current_timestamp())
-    return tables.write_table(merged, root, "matches"), attempts, quarantined
+    return tables.append_table(spark, root, valid, F.current_timestamp()), attempts, quarantined
 
 
 def build_companies(spark: SparkSession, root: str, unique_abn: bool = False, active_only: bool = False) -> DataFrame:

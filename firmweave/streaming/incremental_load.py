@@ -11,16 +11,16 @@ from firmweave.sources import page_lines, tables
 
 
 def upsert_batch(root: str):
-    """Function for ``foreachBatch``; a batch that is run again gives the same rows."""
+    """Function for ``foreachBatch``; a batch that is run again gives the same rows. Only buckets with a batch's sites are rewritten."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         ordered = batch.withColumn(
             "load_order", F.struct("file", "block", F.monotonically_increasing_id().alias("row"))
         )
         rows = load.crawl_rows(page_lines.good_lines(ordered), keep=("load_order",))
-        current = tables.read_table(batch.sparkSession, root, "crawl")
-        merged = upsert.upsert_crawl(current, rows, F.col("load_order"), F.current_timestamp())
-        tables.write_table(merged, root, "crawl")
+        fresh = upsert.latest_crawl(rows, F.col("load_order"))
+        now = F.current_timestamp()
+        tables.upsert_table(batch.sparkSession, root, "crawl", fresh, lambda current, highest: upsert.merge_crawl(current, fresh, now, F.lit(highest)))
 
     return run
 
