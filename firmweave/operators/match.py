@@ -19,6 +19,7 @@ from firmweave.functions.scoring import (
     fuzzy_reasoning,
     two_decimals,
 )
+from firmweave.operators.answers import with_answers
 from firmweave.operators.numbering import dense_ids
 from firmweave.operators.similarity_join import GROUP_ROWS, Measure, best_pairs, candidate_pairs
 from firmweave.operators.skew import spread_join
@@ -206,29 +207,13 @@ def top_candidates(
     return spread_join(sites, listed, "name", [F.col("id")], counts=counted)
 
 
-def score_prompts(df: DataFrame, scorer: Callable[[str], str | None], retries: int = 2) -> DataFrame:
-    """Add ``answer``: what ``scorer`` says to ``prompt``, tried again on errors.
+def score_prompts(df: DataFrame, scorer: Callable[[str], str | None], retries: int = 2, store: str | None = None) -> DataFrame:
+    """``id``, ``prompt`` and ``answer``: what ``scorer`` says to each different prompt (see ``answers.with_answers``).
 
     The scorer is the user's function (a call of a model, say); it runs in the
     tasks. A prompt whose calls all fail gets NULL.
     """
-    schema = T.StructType([*df.select("id", "prompt").schema.fields, T.StructField("answer", T.StringType())])
-
-    def ask(batches):
-        for batch in batches:
-            answers = []
-            for prompt in batch["prompt"]:
-                answer = None
-                for _ in range(retries + 1):
-                    try:
-                        answer = scorer(prompt)
-                        break
-                    except Exception:  # the scorer is foreign code; a failed call is no answer
-                        continue
-                answers.append(answer)
-            yield batch.assign(answer=answers)
-
-    return df.select("id", "prompt").mapInPandas(ask, schema)
+    return with_answers(df.select("id", "prompt"), scorer, store, retries)
 
 
 def match_assisted(
@@ -242,11 +227,13 @@ def match_assisted(
     min_confidence: float = prompts.MIN_CONFIDENCE,
     limit: int | None = None,
     rich_context: bool = False,
+    answers: str | None = None,
 ) -> DataFrame:
     """Let a scorer choose among the candidates of each unmatched named site.
 
     Without a scorer a fixed rule answers (see ``prompts.offline_answer``), so that
-    jobs run without network. An answer counts only if it names a candidate.
+    jobs run without network. An answer counts only if it names a candidate. ``answers`` is a folder
+    that keeps the scorer's answers for later runs.
     """
     listed = top_candidates(
         crawl, registry, matches, k=k, floor=floor, below=below, limit=limit, rich_context=rich_context
@@ -260,7 +247,7 @@ def match_assisted(
     else:
         asked = cut_lineage(prompts.with_match_prompt(asked).select("id", "candidates", "prompt"))
         answered = asked.select("id", "candidates").join(
-            score_prompts(asked, scorer).select("id", "answer"), "id"
+            score_prompts(asked, scorer, store=answers).select("id", "answer"), "id"
         )
     return accepted_answers(answered, min_confidence)
 
