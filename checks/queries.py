@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,12 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import load
 from firmweave.functions import dates, names, prompts, scoring, similarity, web
-from firmweave.operators import extract, load as loading, match, quality, stats, upsert
+from firmweave.operators import extract, load as loading, match, quality, stats, upsert, word_index
 from firmweave.operators.similarity_join import Measure, similar_pairs
 from firmweave.plans import models
+from firmweave.schemas import CRAWL, MATCHES
+from firmweave.session import ensure_checkpoint_dir
+from firmweave.sources.keyed import KeyedTable, PairLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -187,6 +191,28 @@ def crawl_upsert(spark, sf):
     return merged.withColumn("loaded_at", text_of("loaded_at"))
 
 
+@query
+def crawl_upsert_in_buckets(spark, sf):
+    """The same upsert on a keyed table, of which only the buckets of incoming sites are rewritten."""
+    current = load(spark, sf, "crawl_fx").withColumn("warc_file_path", F.concat(F.lit("file-"), F.col("id")))
+    now = F.lit("2025-04-01 00:00:00").cast("timestamp")
+    table = KeyedTable(spark, f"{ensure_checkpoint_dir(spark)}/crawl_{uuid.uuid4().hex}", CRAWL, ["website_url"], counter="id")
+    table.replace(current.select(*CRAWL.names))
+    fresh = upsert.latest_crawl(load(spark, sf, "incoming_crawl_fx"), F.col("seq"))
+    merged = table.upsert(fresh, lambda part, highest: upsert.merge_crawl(part, fresh, now, F.lit(highest)))
+    return merged.withColumn("loaded_at", text_of("loaded_at"))
+
+
+@query
+def match_append_to_log(spark, sf):
+    """Matches of the key tier added to a log that holds some of their pairs already."""
+    registry, crawl, matches = staged(spark, sf)
+    log = PairLog(spark, f"{ensure_checkpoint_dir(spark)}/matches_{uuid.uuid4().hex}", MATCHES, ["cc_id", "abn"], "match_id")
+    log.replace(matches.filter("cc_id % 3 = 0").select(*MATCHES.names))
+    merged = log.append(match.match_direct(crawl, registry), ["cc_id", "abn"], {"created_at": F.lit("2025-04-01 00:00:00").cast("timestamp")})
+    return merged.withColumn("created_at", text_of("created_at"))
+
+
 @query
 def latest_per_key(spark, sf):
     rows = load(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
@@ -584,6 +610,16 @@ def word_search(spark, sf):
     return stats.with_word(mart(spark, sf), "company_name", "ring").select("abn", "company_name", "website_url")
 
 
+@query
+def word_search_by_index(spark, sf):
+    """Sites whose scraped name holds both words, through an index of all names."""
+    sites = load(spark, sf, "crawl_fx").select("id", "website_url", "scraped_company_name")
+    path = f"{ensure_checkpoint_dir(spark)}/word_index_{uuid.uuid4().hex}"
+    folders = word_index.build_index(sites, path, "scraped_company_name")
+    found = word_index.search(spark, path, ["ring", "medium"], folders)
+    return sites.join(found, "id")
+
+
 # --- quality ----------------------------------------------------------------
 
 
