@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from checks.fixtures import load
 from checks.queries import QUERIES
-from firmweave.operators import extract
+from firmweave.operators import extract, match
 from firmweave.operators import load as loading
+from firmweave.operators.similarity_join import Measure
+from firmweave.operators.top_join import top_pairs
 from firmweave.session import build_session
 from firmweave.sources import archive, register_xml
 
@@ -105,6 +107,18 @@ def write_archives(spark: SparkSession, sf: str, folder: str, files: int = 8) ->
     return sum(row.n for row in written.collect())
 
 
+def top_join_pairs(spark: SparkSession, sf: str, k: int = 5, floor: float = 0.6) -> dict[str, float]:
+    """Pairs that the top-k join scores for all sites, and all pairs there are; not part of the total."""
+    crawl, registry = load(spark, sf, "crawl_fx"), load(spark, sf, "registry_fx")
+    sites = match.named_sites(crawl, None).select("name").where("name <> ''").distinct().persist()
+    names = match.active_names(registry).select("name").where("name <> ''").distinct().persist()
+    scored = spark.sparkContext.accumulator(0)
+    begin = time.perf_counter()
+    consume(top_pairs(sites, names, Measure("ratio", floor), k, scored=scored))
+    took = round(time.perf_counter() - begin, 3)
+    return {"top_pairs_scored": scored.value, "top_pairs_all": sites.count() * names.count(), "top_pairs_sec": took}
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -151,6 +165,7 @@ def main() -> None:
     for name in HEADLINES:
         timed(name, lambda: consume(QUERIES[name](spark, sf)))
         print(f"{name} {seconds[name]}", file=sys.stderr)
+    extra |= top_join_pairs(spark, sf)
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": sf, **extra}))
 
