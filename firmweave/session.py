@@ -40,7 +40,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="firmweave-checkpoint-")
     context.setCheckpointDir(folder)
