@@ -1,7 +1,7 @@
 """Benchmark decontamination: one Aho-Corasick automaton over normalised test items, each text scanned once.
 
-Normalising (ASCII lower case, every separator byte a space) keeps byte offsets; only runs of spaces are closed up, and an
-offset map leads back. Window and text carry a space on both ends, so matches begin and end at words.
+Normalising (ASCII lower case, every separator byte a space) keeps byte offsets; only runs of spaces are closed up, and the places of words
+lead back to bytes of the original. Window and text carry a space on both ends, so matches begin and end at words.
 """
 
 from __future__ import annotations
@@ -73,8 +73,8 @@ def _automaton(shard: Shard) -> ahocorasick.Automaton:
     return automaton
 
 
-def scan(texts: Texts, automaton: ahocorasick.Automaton, shard: Shard) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]]]:
-    """Word numbers at which texts begin, which words are hit, and the item names found by text number.
+def scan(texts: Texts, automaton: ahocorasick.Automaton, shard: Shard) -> tuple[np.ndarray, np.ndarray, dict[int, set[str]], np.ndarray, np.ndarray]:
+    """Word numbers at which texts begin, which words are hit, the item names found by text number, and where words begin and end in bytes.
 
     The normal form of each text is a newline, which no window holds, then its words with a space before and after each.
     """
@@ -83,7 +83,7 @@ def scan(texts: Texts, automaton: ahocorasick.Automaton, shard: Shard) -> tuple[
     n = len(starts)
     found: dict[int, set[str]] = {}
     if not n:
-        return at, np.zeros(0, bool), found
+        return at, np.zeros(0, bool), found, starts, ends
     heads = at[:-1][np.diff(at) > 0]
     opening = np.zeros(n, np.int64)
     opening[heads] = 2
@@ -107,10 +107,11 @@ def scan(texts: Texts, automaton: ahocorasick.Automaton, shard: Shard) -> tuple[
         owner = np.searchsorted(at, last, side="right") - 1
         for doc, k in set(zip(owner.tolist(), kinds, strict=True)):
             found.setdefault(doc, set()).update(shard.names[i] for i in shard.items[k])
-    return at, np.cumsum(hit[:-1]) > 0, found
+    return at, np.cumsum(hit[:-1]) > 0, found, starts, ends
 
 
-_SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
+_SPAN = ["start", "end", "from_byte", "to_byte"]
+_SPANS = ArrayType(StructType([StructField(c, LongType()) for c in _SPAN]))
 _ADDED = StructType(
     [
         StructField("n_words", LongType()),
@@ -122,17 +123,19 @@ _ADDED = StructType(
 
 
 def _merge(spans: list, more: list) -> list:
+    """Spans (first word, word after, first byte, byte after) of both lists, those that meet as one."""
     out: list = []
-    for s, e in sorted(spans + more):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(e, out[-1][1])
+    for span in sorted(spans + more):
+        if out and span[0] <= out[-1][1]:
+            if span[1] > out[-1][1]:
+                out[-1][1], out[-1][3] = span[1], span[3]
         else:
-            out.append([s, e])
+            out.append(list(span))
     return out
 
 
 def _pass(docs: DataFrame, shard: Shard) -> DataFrame:
-    """One scan of all texts; adds to what earlier scans have found. Spans are word numbers, merged where they meet."""
+    """One scan of all texts; adds to what earlier scans have found. Spans are merged where they meet."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(shard)
     held: list = []
@@ -143,7 +146,7 @@ def _pass(docs: DataFrame, shard: Shard) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             texts = Texts(table)
-            at, hit, found = scan(texts, held[0], sent.value)
+            at, hit, found, word_from, word_to = scan(texts, held[0], sent.value)
             edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
             begin, finish = edge[::2], edge[1::2]
             spans: list[list] = [[] for _ in range(len(texts))]
@@ -152,9 +155,10 @@ def _pass(docs: DataFrame, shard: Shard) -> DataFrame:
                 while s < e:  # a run of hits may go on into the next text
                     stop = min(e, int(at[doc + 1]))
                     if stop > s:
-                        spans[doc].append([s - int(at[doc]), stop - int(at[doc])])
+                        first, text_at = int(at[doc]), int(texts.offsets[doc])
+                        spans[doc].append([s - first, stop - first, int(word_from[s]) - text_at, int(word_to[stop - 1]) - text_at])
                     s, doc = stop, doc + 1
-            before = [[[x["start"], x["end"]] for x in v] for v in table.column("_spans").to_pylist()]
+            before = [[[x[c] for c in _SPAN] for x in v] for v in table.column("_spans").to_pylist()]
             spans = [_merge(b, s) for b, s in zip(before, spans, strict=True)]
             names = [sorted(set(x) | found.get(k, set())) for k, x in enumerate(table.column("_items").to_pylist())]
             yield pa.RecordBatch.from_arrays(
@@ -163,7 +167,7 @@ def _pass(docs: DataFrame, shard: Shard) -> DataFrame:
                     batch.column("_text"),
                     pa.array(np.diff(at)),
                     pa.array(names, pa.list_(pa.string())),
-                    pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    pa.array([[dict(zip(_SPAN, x, strict=True)) for x in s] for s in spans], pa.list_(pa.struct([(c, pa.int64()) for c in _SPAN]))),
                     batch.column("_rest"),
                 ],
                 names=["_id", "_text", "_words", "_items", "_spans", "_rest"],
@@ -179,7 +183,8 @@ def find_contamination(
 
     Words are runs of bytes other than ASCII non-alphanumerics, A-Z in lower case. A window is ``size`` consecutive words of an item; an
     item of fewer words is one window. Adds ``n_words``, ``n_hit`` (words inside any occurrence), ``items`` (ids of items that
-    have an occurring window, as strings, sorted) and ``spans`` (hit word ranges).
+    have an occurring window, as strings, sorted) and ``spans``: hit ranges as word numbers (``start`` to before ``end``) and as offsets
+    in the UTF-8 bytes of the original text (``from_byte`` to before ``to_byte``).
 
     Null texts have no words; items without id, text or words have no windows; repeated items count under each id; an empty
     benchmark hits nothing. Each row of ``docs`` stays one row; other columns pass through, added ones win over their namesakes.

@@ -153,6 +153,17 @@ def test_decontamination(spark, monkeypatch, shard_bytes):
     have = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got.select("doc_id", "n_words", "n_hit", "items").collect())
     assert have == plain_contamination(rows, items)
     assert got.columns.count("n_words") == 1 and "_chunk" in got.columns
+    # Offsets lead to the hit words in the bytes of the original text.
+    n_spans = 0
+    for r in got.select("text", "spans", "n_hit").collect():
+        data, words = (r.text or "").encode(), re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").translate(plain.LOWER))
+        n_spans += len(r.spans)
+        assert sum(s["end"] - s["start"] for s in r.spans) == r.n_hit
+        for s in r.spans:
+            original = data[s["from_byte"] : s["to_byte"]].decode()
+            assert item_words(original) == words[s["start"] : s["end"]]
+            assert original[:1] not in "- \n" and original[-1:] not in "- \n"
+    assert n_spans > 20
     kept = decontaminate.clean_documents(df, bench)
     assert kept.columns == df.columns and kept.count() == sum(n for r, n in have.items() if not r[2])
 
