@@ -20,6 +20,7 @@ from firmweave.functions.scoring import (
     two_decimals,
 )
 from firmweave.operators.answers import with_answers
+from firmweave.operators.name_index import NameIndex, active_names
 from firmweave.operators.numbering import dense_ids
 from firmweave.operators.similarity_join import GROUP_ROWS, Measure, best_pairs, candidate_pairs
 from firmweave.operators.skew import spread_join
@@ -70,12 +71,6 @@ def named_sites(crawl: DataFrame, matches: DataFrame | None, limit: int | None =
     return sites.withColumn("name", normalize_name(F.col("scraped_company_name")))
 
 
-def active_names(registry: DataFrame) -> DataFrame:
-    """Active register rows with a name, plus the normalised ``name`` (empty if nothing is left)."""
-    active = registry.filter((F.col("entity_status") == "Active") & F.col("entity_name").isNotNull())
-    return active.withColumn("name", normalize_name(F.col("entity_name")))
-
-
 def _counted_names(rows: DataFrame) -> DataFrame:
     """Distinct, non-empty names with their number of rows.
 
@@ -95,39 +90,41 @@ def match_fuzzy(
     blocking: str = "exact",
     measure: str = "ratio",
     group_rows: int = GROUP_ROWS,
+    index: NameIndex | None = None,
 ) -> DataFrame:
     """Best active register row by name similarity for each unmatched named site.
 
     Ties go to the lowest abn. Both sides shrink to distinct normalised names;
     equal names are settled by an equi-join (nothing beats similarity 1), the
     rest by the similarity join; the answer goes back to the site rows at the end.
-    ``blocking="first_letter"`` also asks for equal first letters, which loses pairs.
+    ``blocking="first_letter"`` also asks for equal first letters, which loses pairs. With an ``index``,
+    which must be fresh, ``registry`` is not read.
     """
     if blocking not in ("exact", "first_letter"):
         raise ValueError(f"unknown blocking {blocking!r}")
     rows = named_sites(crawl, matches, limit).select("id", "scraped_company_name", "name")
-    entries = (
-        active_names(registry)
-        .groupBy("name")
-        .agg(F.min(F.struct("abn", "entity_name")).alias("entry"))
-    )
     counted = _counted_names(rows)
     # Both distinct-name tables feed several plans below, so each is written once.
-    entries = cut_lineage(entries)
-    counted = cut_lineage(counted.join(entries, "name", "left"))
+    if index is None:
+        entries = cut_lineage(active_names(registry).groupBy("name").agg(F.min(F.struct("abn", "entity_name")).alias("entry")))
+        counted = cut_lineage(counted.join(entries, "name", "left"))
+    else:
+        counted = cut_lineage(counted)
+        counted = cut_lineage(counted.join(index.entries(counted), "name", "left"))
 
     equal = counted.filter(F.col("entry").isNotNull()).select(
         "name", F.lit(1.0).alias("similarity"), F.col("entry")
     )
-    scale = Measure(measure, threshold)
-    candidates = candidate_pairs(
-        counted.filter(F.col("entry").isNull()).select("name"),
-        entries.select("name"),
-        scale,
-        first_letter=blocking == "first_letter",
-        group_rows=group_rows,
-    )
+    scale, first_letter = Measure(measure, threshold), blocking == "first_letter"
+    others = counted.filter(F.col("entry").isNull()).select("name")
+    if index is None:
+        candidates = candidate_pairs(others, entries.select("name"), scale, first_letter=first_letter, group_rows=group_rows)
+    else:
+        candidates = index.candidate_pairs(others, scale, first_letter)
     pairs = best_pairs(candidates, scale, 1)
+    if index is not None:
+        pairs = cut_lineage(pairs)
+        entries = index.entries(pairs.select(F.col("register_name").alias("name")))
     ranked = F.struct((-F.col("similarity")).alias("worse"), F.col("entry"))
     near = (
         pairs.join(entries.withColumnRenamed("name", "register_name"), "register_name")
@@ -295,9 +292,11 @@ def match_all(
     limits: dict[str, int] | None = None,
     scorer: Callable[[str], str | None] | None = None,
     matches: DataFrame | None = None,
+    index: NameIndex | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Run the chosen tiers in order of confidence; each sees the matches before it.
 
+    With an ``index`` of the register's names, which must be fresh, the name tier reads that.
     Returns (new matches, one row per tier with matched and candidates).
     """
     if strategy not in ("all", "direct", "fuzzy", "llm"):
@@ -321,7 +320,7 @@ def match_all(
         else:
             tried = named_sites(crawl, taken(), limit).agg(F.count(F.lit(1)).alias("n")).scalar()
             if tier == "fuzzy":
-                new = match_fuzzy(crawl, registry, taken(), limit=limit)
+                new = match_fuzzy(crawl, registry, taken(), limit=limit, index=index)
             else:
                 new = match_assisted(crawl, registry, taken(), scorer=scorer, limit=limit)
         # Later tiers read these matches more than once; the name join is costly.

@@ -131,7 +131,7 @@ def _grams(name: Column, q: int) -> Column:
     return F.transform(positions, lambda p: F.substring(name, p, q))
 
 
-def _token_counts(sites: DataFrame, register: DataFrame) -> tuple[list[int], list[int]]:
+def token_counts(sites: DataFrame, register: DataFrame) -> tuple[list[int], list[int]]:
     """Frequencies of column ``token`` on both sides by hash bucket: at most 2 x BUCKETS numbers."""
     sides = [df.select(F.lit(side).alias("side"), "token") for side, df in ((0, sites), (1, register))]
     rows = (
@@ -147,20 +147,20 @@ def _token_counts(sites: DataFrame, register: DataFrame) -> tuple[list[int], lis
     return counts
 
 
-def _tokens(names: DataFrame, q: int) -> DataFrame:
+def name_tokens(names: DataFrame, q: int) -> DataFrame:
     return names.select(F.explode(_grams(F.col("name"), q)).alias("token"))
 
 
-def _lookup(values: list[int], token: Column) -> Column:
+def bucket_value(values: list[int], token: Column) -> Column:
     table = F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
     return F.element_at(table, _bucket(token) + 1)
 
 
-def _fan_out(counts: list[int], group_rows: int) -> list[int]:
+def fan_out(counts: list[int], group_rows: int) -> list[int]:
     return [max(1, math.ceil(count / group_rows)) for count in counts]
 
 
-def _prefix_rows(names: DataFrame, q: int, measure: Measure, order: list[int]) -> DataFrame:
+def prefix_rows(names: DataFrame, q: int, measure: Measure, order: list[int]) -> DataFrame:
     """One row for each token in the prefix of a name, with all that the join checks."""
     masks, over = count_masks("name")
     low = F.col("low") if "low" in names.columns else F.lit(measure.floor)
@@ -171,7 +171,7 @@ def _prefix_rows(names: DataFrame, q: int, measure: Measure, order: list[int]) -
 
     def token(p: Column) -> Column:
         gram = F.substring(F.col("name"), p, q)
-        return F.struct(_lookup(order, gram).alias("rows"), gram.alias("token"), p.alias("pos"))
+        return F.struct(bucket_value(order, gram).alias("rows"), gram.alias("token"), p.alias("pos"))
 
     ordered = F.array_sort(F.transform(positions, token))
     taken = F.slice(ordered, F.lit(1), F.greatest(F.lit(0), size - measure.least_need(F.col("len"), q, F.col("low")) + 1))
@@ -188,8 +188,8 @@ def _salts(rows: DataFrame, own: str, other: str, own_fan: list[int], other_fan:
     """Grid of salts for hot tokens: a row holds its own salt and meets every salt of the other side."""
     if max(own_fan) == 1 and max(other_fan) == 1:
         return rows.withColumns({own: F.lit(0), other: F.lit(0)})
-    mine = F.pmod(F.xxhash64("name"), _lookup(own_fan, F.col("token"))).cast("int")
-    theirs = F.sequence(F.lit(0), (_lookup(other_fan, F.col("token")) - 1).cast("int"))
+    mine = F.pmod(F.xxhash64("name"), bucket_value(own_fan, F.col("token"))).cast("int")
+    theirs = F.sequence(F.lit(0), (bucket_value(other_fan, F.col("token")) - 1).cast("int"))
     return rows.withColumn(own, mine).withColumn(other, F.explode(theirs))
 
 
@@ -210,19 +210,23 @@ def candidate_pairs(
     asks for equal first letters in addition (a documented shortcut that loses pairs).
     """
     q = measure.token_size()
-    site_counts, register_counts = _token_counts(_tokens(sites, q), _tokens(register, q))
+    site_counts, register_counts = token_counts(name_tokens(sites, q), name_tokens(register, q))
     order = [a * b for a, b in zip(site_counts, register_counts)]
-    left, right = _prefix_rows(sites, q, measure, order), _prefix_rows(register, q, measure, order)
+    left, right = prefix_rows(sites, q, measure, order), prefix_rows(register, q, measure, order)
     if max(site_counts) > group_rows or max(register_counts) > group_rows:
         # Some token may be hot; what counts is how often it stands in a prefix.
-        site_counts, register_counts = _token_counts(left, right)
-    site_fan, register_fan = _fan_out(site_counts, group_rows), _fan_out(register_counts, group_rows)
+        site_counts, register_counts = token_counts(left, right)
+    site_fan, register_fan = fan_out(site_counts, group_rows), fan_out(register_counts, group_rows)
     left = _salts(left, "salt_s", "salt_r", site_fan, register_fan)
     right = _salts(right, "salt_r", "salt_s", register_fan, site_fan)
+    return meeting_pairs(left, right, measure, q, first_letter)
 
+
+def meeting_pairs(left: DataFrame, right: DataFrame, measure: Measure, q: int, first_letter: bool) -> DataFrame:
+    """The pairs of ``candidate_pairs`` from salted prefix rows of sites and register."""
     # A fixed number of tasks: partitions of few bytes can still mean many pairs, and AQE
     # would merge them by bytes.
-    tasks = int(sites.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["token", "salt_s", "salt_r"]
     left, right = left.repartition(tasks, *keys).alias("s"), right.repartition(tasks, *keys).alias("r")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from firmweave.functions import web
 from firmweave.operators import extract, load, match, quality, stats, upsert
+from firmweave.operators.name_index import NameIndex
 from firmweave.plans import models
 from firmweave.session import cut_lineage
 from firmweave.sources import archive, page_lines, register_xml, tables
@@ -89,10 +90,17 @@ def run_matching(
     limits: dict[str, int] | None = None,
     scorer: Callable[[str], str | None] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Match unmatched sites and append valid results: (matches, attempts, quarantined)."""
+    """Match unmatched sites and append valid results: (matches, attempts, quarantined).
+
+    The name tier reads an index under ``root``, which is first brought up to the register.
+    """
     registry, crawl = tables.read_table(spark, root, "registry"), tables.read_table(spark, root, "crawl")
     current = tables.read_table(spark, root, "matches")
-    new, attempts = match.match_all(crawl, registry, strategy, limits, scorer, current)
+    index = None
+    if strategy in ("all", "fuzzy"):
+        index = NameIndex(spark, f"{root}/name_index", tables.stored(spark, root, "registry"))
+        index.refresh()
+    new, attempts = match.match_all(crawl, registry, strategy, limits, scorer, current, index)
     valid, quarantined = quality.split_valid_matches(new, crawl, registry)
     return tables.append_table(spark, root, valid, F.current_timestamp()), attempts, quarantined
 

@@ -82,13 +82,14 @@ class Versions:
     def commit(self, manifest: dict) -> None:
         self.files.write(f"{_MANIFEST}/{manifest['version']:09d}.json", json.dumps(manifest))
 
-    def expire(self, keep: int) -> None:
-        """Remove all but the last ``keep`` versions, and the folders of data that none of these names."""
+    def expire(self, keep: int, named: Iterable[int] = ()) -> None:
+        """Remove all but the last ``keep`` versions and the ``named`` ones, and the folders of data that none of these names."""
         numbers = self.numbers()
-        kept = numbers[-max(1, keep) :]
+        last = numbers[-keep:] if keep else []
+        kept = [n for n in numbers if n in {*last, *named}] or numbers[-1:]
         manifests = [self.load(n) for n in kept]
         used = {part.split("/")[0] for m in manifests for group in [*m["files"].values(), m.get("filters", [])] for part in group}
-        for n in numbers[: -len(kept)] if kept else []:
+        for n in [n for n in numbers if n not in kept]:
             self.files.remove(f"{_MANIFEST}/{n:09d}.json")
         for folder in self.files.names(_DATA):
             if folder not in used:
@@ -135,47 +136,72 @@ class KeyedTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """All rows of a version, the last by default; none if there is no version."""
-        manifest = self.versions.load(version)
+        manifest = self._base(version)[0]
         return _read_files(self.spark, self.path, [f for group in manifest["files"].values() for f in group] if manifest else [], self.schema)
 
     def replace(self, rows: DataFrame) -> DataFrame:
         """A version of ``rows`` alone; they may come from the version before."""
         old = self.versions.load()
         files = _write_buckets(self.versions.files, rows, self._bucket(old), self.schema.names)
-        self._commit(old, files, files, 0)
+        self._commit(old, files, files, 0, old["version"] + 1 if old else 1)
         return self.read()
 
-    def upsert(self, fresh: DataFrame, merge: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    def upsert(self, fresh: DataFrame, merge: Callable[[DataFrame, int], DataFrame], base: int | None = None) -> DataFrame:
         """A version in which the buckets of ``fresh``'s keys are ``merge(their rows, highest counter)``.
 
         ``merge`` returns the buckets' rows as they shall be; it may not make keys of other buckets. ``fresh`` should
-        be written already (it is read twice). Rows of all other buckets are neither read nor written.
+        be written already (it is read twice). Rows of all other buckets are neither read nor written. ``base`` is the version
+        to go on from (the last by default; 0 is an empty table).
         """
-        old = self.versions.load()
-        bucket = self._bucket(old)
-        touched = [str(r[0]) for r in fresh.select(bucket.alias(BUCKET)).distinct().collect()]  # buckets at most
+        old, number = self._base(base)
+        touched = self._touched(fresh, old)
         if not touched:
-            return self.read()
+            return self.read(base)
         before = old["files"] if old else {}
         current = _read_files(self.spark, self.path, [f for b in touched for f in before.get(b, [])], self.schema)
-        highest = old["highest"] if old else 0
-        files = _write_buckets(self.versions.files, merge(current, highest), bucket, self.schema.names)
-        if not set(files) <= set(touched):
-            raise ValueError("merge made keys of buckets that the load does not touch")
-        kept = {b: f for b, f in before.items() if b not in touched}
-        self._commit(old, kept | files, files, highest)
-        return self.read()
+        return self._put(old, number, touched, merge(current, old["highest"] if old else 0))
 
-    def _commit(self, old: dict | None, files: dict, new: dict, highest: int) -> None:
+    def put(self, buckets: Iterable[str], rows: DataFrame, base: int | None = None) -> DataFrame:
+        """A version in which ``buckets`` hold ``rows`` alone; all other buckets stay as they are in ``base``."""
+        return self._put(*self._base(base), buckets, rows)
+
+    def _put(self, old: dict | None, number: int, buckets: Iterable[str], rows: DataFrame) -> DataFrame:
+        buckets = set(buckets)
+        files = _write_buckets(self.versions.files, rows, self._bucket(old), self.schema.names)
+        if not set(files) <= buckets:
+            raise ValueError("rows have keys of buckets that the load does not touch")
+        kept = {b: f for b, f in (old["files"] if old else {}).items() if b not in buckets}
+        self._commit(old, kept | files, files, old["highest"] if old else 0, number)
+        return self.read(number)
+
+    def _base(self, version: int | None) -> tuple[dict | None, int]:
+        """The manifest to go on from and the number of the version to come."""
+        if version is None:
+            old = self.versions.load()
+            return old, old["version"] + 1 if old else 1
+        return self.versions.load(version) if version else None, (self.versions.numbers() or [0])[-1] + 1
+
+    def of_buckets(self, buckets: Iterable[str], version: int | None = None) -> DataFrame:
+        """Rows of some buckets; no file of another is read."""
+        manifest = self._base(version)[0]
+        return _read_files(self.spark, self.path, [f for b in buckets for f in manifest["files"].get(b, [])] if manifest else [], self.schema)
+
+    def near(self, keys: DataFrame, version: int | None = None) -> DataFrame:
+        """Rows of the buckets in which ``keys`` lie: all rows of these keys, and others."""
+        return self.of_buckets(self._touched(keys, self._base(version)[0]), version)
+
+    def _touched(self, keys: DataFrame, manifest: dict | None) -> list[str]:
+        return [str(r[0]) for r in keys.select(self._bucket(manifest).alias(BUCKET)).distinct().collect()]  # buckets at most
+
+    def _commit(self, old: dict | None, files: dict, new: dict, highest: int, version: int) -> None:
         if self.counter and new:
             rows = _read_files(self.spark, self.path, [f for group in new.values() for f in group], self.schema)
             highest = max(highest, rows.agg(F.coalesce(F.max(self.counter), F.lit(0))).first()[0])
-        version = old["version"] + 1 if old else 1
         self.versions.commit({"version": version, "buckets": old["buckets"] if old else self.buckets, "highest": highest, "files": files})
 
-    def expire(self, keep: int = 2) -> None:
-        """Remove old versions; results that still read them must be done."""
-        self.versions.expire(keep)
+    def expire(self, keep: int = 2, named: Iterable[int] = ()) -> None:
+        """Remove old versions but the ``named`` ones; results that still read them must be done."""
+        self.versions.expire(keep, named)
 
 
 # Bits of a filter for each key, and bits set for each: about one key in a hundred is looked up in vain.

@@ -38,7 +38,7 @@ def table_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(n for n in numbers if files.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{_VERSION}{n}/{_DONE}")))
 
 
-def _kept(spark: SparkSession, root: str, name: str) -> KeyedTable | PairLog | None:
+def stored(spark: SparkSession, root: str, name: str) -> KeyedTable | PairLog | None:
     """The store of a table that loads change in part."""
     path, schema = f"{root}/{name}", TABLES[name]
     if name == "registry":
@@ -50,7 +50,7 @@ def _kept(spark: SparkSession, root: str, name: str) -> KeyedTable | PairLog | N
 
 def has_table(spark: SparkSession, root: str, name: str) -> bool:
     """Whether some version of a table was written to the end."""
-    kept = _kept(spark, root, name)
+    kept = stored(spark, root, name)
     return bool(kept.versions.numbers() if kept else table_versions(spark, f"{root}/{name}"))
 
 
@@ -61,7 +61,7 @@ def _view(table: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Latest version of a table under ``root``, empty when there is none; also a view of that name."""
-    kept = _kept(spark, root, name)
+    kept = stored(spark, root, name)
     if kept:
         return _view(kept.read(), name)
     path, schema = f"{root}/{name}", TABLES[name]
@@ -77,7 +77,7 @@ def write_table(df: DataFrame, root: str, name: str) -> DataFrame:
     computed may read it, so it stays until ``expire_table``.
     """
     spark, path = df.sparkSession, f"{root}/{name}"
-    kept = _kept(spark, root, name)
+    kept = stored(spark, root, name)
     if kept:
         return _view(kept.replace(df.select(*TABLES[name].names)), name)
     number = (table_versions(spark, path) or [0])[-1] + 1
@@ -87,17 +87,17 @@ def write_table(df: DataFrame, root: str, name: str) -> DataFrame:
 
 def upsert_table(spark: SparkSession, root: str, name: str, fresh: DataFrame, merge: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
     """The next version of a keyed table (registry, crawl): only the buckets of ``fresh``'s keys are read and written."""
-    return _view(_kept(spark, root, name).upsert(fresh, merge), name)
+    return _view(stored(spark, root, name).upsert(fresh, merge), name)
 
 
 def append_table(spark: SparkSession, root: str, new: DataFrame, now: Column) -> DataFrame:
     """Add new matches to the log, numbered on in order of (cc_id, abn); pairs that are there already stay as they are."""
-    return _view(_kept(spark, root, "matches").append(new, ["cc_id", "abn"], {"created_at": now}), "matches")
+    return _view(stored(spark, root, "matches").append(new, ["cc_id", "abn"], {"created_at": now}), "matches")
 
 
 def expire_table(spark: SparkSession, root: str, name: str, keep: int = 2) -> None:
     """Remove all but the last ``keep`` versions. Results that read older ones must be done."""
-    kept = _kept(spark, root, name)
+    kept = stored(spark, root, name)
     if kept:
         kept.expire(keep)
         return
