@@ -58,10 +58,10 @@ def test_index_follows_the_register(spark, tmp_path, crawl, reads):
     names = random_names(1, 60) + random_names(2, 60)
     rows = [(f"{20000000000 + i}", n if i % 13 else None, "Active" if i % 5 else "Cancelled") for i, n in enumerate(names, 1)]
     rows.append(("30000000000", rows[0][1], "Active"))  # a second row of a name
-    table = KeyedTable(spark, str(tmp_path / "registry"), REGISTRY, ["abn"], buckets=16)
+    table = KeyedTable(spark, str(tmp_path / "registry"), REGISTRY, ["abn"], buckets=4)
     load(table, entries(spark, rows))
     index = NameIndex(spark, str(tmp_path / "index"), table, group_rows=25)
-    assert index.refresh() == 16
+    assert index.refresh() == 4
     first = both(crawl, table.read(), index)
     assert len(first) > 20
     # Nothing new: the register is not read at all, and the index finds the same.
@@ -76,21 +76,19 @@ def test_index_follows_the_register(spark, tmp_path, crawl, reads):
     load(table, entries(spark, [(hit, "Something Else", "Active")]))
     assert index.refresh() == 1
     assert both(crawl, table.read(), index) != first
-    for turn in range(2):
-        changed = []
-        for abn, name, status in rnd.sample(rows, 12):
-            kind = rnd.randrange(4)
-            changed.append((abn, [name, rnd.choice(names), None, (name or "x").upper()][kind], rnd.choice(["Active", "Active", "Cancelled"])))
-        changed += [(f"1{turn}{i}", n, "Active") for i, n in enumerate(random_names(7 + turn, 5))]
-        load(table, entries(spark, list({c[0]: c for c in changed}.values())))
-        index.refresh()
-        both(crawl, table.read(), index)
-    both(crawl, table.read(), index, blocking="first_letter")
+    changed = []
+    for abn, name, _ in rnd.sample(rows, 12):
+        kind = rnd.randrange(4)
+        changed.append((abn, [name, rnd.choice(names), None, (name or "x").upper()][kind], rnd.choice(["Active", "Active", "Cancelled"])))
+    changed += [(f"1{i}", n, "Active") for i, n in enumerate(random_names(7, 5))]
+    load(table, entries(spark, changed))
+    index.refresh()
+    both(crawl, table.read(), index)
     both(crawl, table.read(), index, threshold=0.92)
 
     # What the last state does not name may go.
     index.expire()
-    both(crawl, table.read(), index)
+    both(crawl, table.read(), index, blocking="first_letter")
     with pytest.raises(ValueError):
         match.match_fuzzy(crawl, table.read(), threshold=0.5, index=index)
     with pytest.raises(ValueError):
