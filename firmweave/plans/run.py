@@ -12,6 +12,7 @@ from firmweave.functions import web
 from firmweave.operators import extract, load, match, quality, stats, upsert
 from firmweave.operators.name_index import NameIndex
 from firmweave.plans import models
+from firmweave.plans.kept_mart import KeptMart
 from firmweave.session import cut_lineage
 from firmweave.sources import archive, page_lines, register_xml, tables
 
@@ -105,7 +106,16 @@ def run_matching(
     return tables.append_table(spark, root, valid, F.current_timestamp()), attempts, quarantined
 
 
-def build_companies(spark: SparkSession, root: str, unique_abn: bool = False, active_only: bool = False) -> DataFrame:
+def build_companies(
+    spark: SparkSession, root: str, unique_abn: bool = False, active_only: bool = False, incremental: bool = False
+) -> DataFrame:
+    """The company table, built in full, or (``incremental``) from what changed since the last build, with ids that stay."""
+    if incremental:
+        if unique_abn:
+            raise ValueError("one row an abn is picked among all rows; build in full")
+        table = KeptMart(spark, root, active_only).refresh(F.current_timestamp())
+        table.createOrReplaceTempView("companies")
+        return table
     table = models.companies(
         tables.read_table(spark, root, "registry"),
         tables.read_table(spark, root, "crawl"),
@@ -131,13 +141,15 @@ def run_pipeline(
     unique_abn: bool = False,
     active_only: bool = False,
     manual: DataFrame | None = None,
+    incremental: bool = False,
 ) -> Report:
     """Run all steps whose inputs are given; tables live in Parquet folders under ``root``.
 
     ``lines_path`` is where extracted pages go (default ``root/pages``), or, without
     ``archives``, where they come from. ``manual``: pairs (cc_id, abn, match_reasoning) that go into the match
     table before the tiers run and replace other matches of their sites. The report's ``statistics`` also hold the
-    counters of each step that ran: pages, archive_errors, lines, register.
+    counters of each step that ran: pages, archive_errors, lines, register. ``incremental`` derives only the companies
+    that changes touch, and their ids stay (see ``kept_mart``).
     """
     counters: dict[str, DataFrame] = {}
     if archives:
@@ -157,7 +169,7 @@ def run_pipeline(
     if manual is not None:
         add_manual(spark, root, manual)
     matches, attempts, quarantined = run_matching(spark, root, strategy, limits, scorer)
-    companies = build_companies(spark, root, unique_abn, active_only)
+    companies = build_companies(spark, root, unique_abn, active_only, incremental)
 
     registry, crawl = tables.read_table(spark, root, "registry"), tables.read_table(spark, root, "crawl")
     named = {"registry": registry, "crawl": crawl, "matches": matches, "companies": companies}
@@ -178,5 +190,5 @@ def run_pipeline(
             "lost_matches": models.lost_matches(registry, crawl, matches),
             **counters,
         },
-        missing_tables=quality.missing_tables(spark, root, list(tables.TABLES)),
+        missing_tables=quality.missing_tables(spark, root, [n for n in tables.TABLES if not (incremental and n == "companies")]),
     )

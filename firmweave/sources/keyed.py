@@ -58,6 +58,9 @@ class Files:
         if self.fs.exists(self.path(name)) or not self.fs.rename(self.path(draft), self.path(name)):
             raise RuntimeError(f"{self.root}/{name} is there already: another load was faster")
 
+    def exists(self, name: str) -> bool:
+        return self.fs.exists(self.path(name))
+
     def remove(self, name: str) -> None:
         self.fs.delete(self.path(name), True)
 
@@ -109,7 +112,8 @@ def _write_buckets(files: Files, rows: DataFrame, bucket: Column, columns: list[
     return found
 
 
-def _read_files(spark: SparkSession, root: str, names: Iterable[str], schema: T.StructType) -> DataFrame:
+def read_files(spark: SparkSession, root: str, names: Iterable[str], schema: T.StructType) -> DataFrame:
+    """Rows of files of the table under ``root``, as its manifests name them."""
     paths = [f"{root}/{_DATA}/{n}" for n in names]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
@@ -137,7 +141,7 @@ class KeyedTable:
     def read(self, version: int | None = None) -> DataFrame:
         """All rows of a version, the last by default; none if there is no version."""
         manifest = self._base(version)[0]
-        return _read_files(self.spark, self.path, [f for group in manifest["files"].values() for f in group] if manifest else [], self.schema)
+        return read_files(self.spark, self.path, [f for group in manifest["files"].values() for f in group] if manifest else [], self.schema)
 
     def replace(self, rows: DataFrame) -> DataFrame:
         """A version of ``rows`` alone; they may come from the version before."""
@@ -158,7 +162,7 @@ class KeyedTable:
         if not touched:
             return self.read(base)
         before = old["files"] if old else {}
-        current = _read_files(self.spark, self.path, [f for b in touched for f in before.get(b, [])], self.schema)
+        current = read_files(self.spark, self.path, [f for b in touched for f in before.get(b, [])], self.schema)
         return self._put(old, number, touched, merge(current, old["highest"] if old else 0))
 
     def put(self, buckets: Iterable[str], rows: DataFrame, base: int | None = None) -> DataFrame:
@@ -184,7 +188,7 @@ class KeyedTable:
     def of_buckets(self, buckets: Iterable[str], version: int | None = None) -> DataFrame:
         """Rows of some buckets; no file of another is read."""
         manifest = self._base(version)[0]
-        return _read_files(self.spark, self.path, [f for b in buckets for f in manifest["files"].get(b, [])] if manifest else [], self.schema)
+        return read_files(self.spark, self.path, [f for b in buckets for f in manifest["files"].get(b, [])] if manifest else [], self.schema)
 
     def near(self, keys: DataFrame, version: int | None = None) -> DataFrame:
         """Rows of the buckets in which ``keys`` lie: all rows of these keys, and others."""
@@ -195,7 +199,7 @@ class KeyedTable:
 
     def _commit(self, old: dict | None, files: dict, new: dict, highest: int, version: int) -> None:
         if self.counter and new:
-            rows = _read_files(self.spark, self.path, [f for group in new.values() for f in group], self.schema)
+            rows = read_files(self.spark, self.path, [f for group in new.values() for f in group], self.schema)
             highest = max(highest, rows.agg(F.coalesce(F.max(self.counter), F.lit(0))).first()[0])
         self.versions.commit({"version": version, "buckets": old["buckets"] if old else self.buckets, "highest": highest, "files": files})
 
@@ -252,7 +256,7 @@ class PairLog:
 
     def read(self, version: int | None = None) -> DataFrame:
         manifest = self.versions.load(version)
-        return _read_files(self.spark, self.path, [f for group in manifest["files"].values() for f in group] if manifest else [], self.schema)
+        return read_files(self.spark, self.path, [f for group in manifest["files"].values() for f in group] if manifest else [], self.schema)
 
     def unseen(self, new: DataFrame) -> DataFrame:
         """Rows of ``new`` whose pair no segment holds."""
@@ -275,7 +279,7 @@ class PairLog:
         hits = pairs.groupBy(BUCKET).cogroup(held.groupBy(BUCKET)).applyInArrow(lambda key, a, b: test(key, a, b), f"segment string, {BUCKET} int")
         wanted = {(r["segment"], str(r[BUCKET])) for r in hits.collect()}  # buckets times segments at most
         names = [f for name, group in manifest["files"].items() if tuple(name.split(":")) in wanted for f in group]
-        seen = _read_files(self.spark, self.path, names, self.schema).select(*self.key)
+        seen = read_files(self.spark, self.path, names, self.schema).select(*self.key)
         return new.join(seen, self.key, "left_anti").select(*new.columns)
 
     def append(self, new: DataFrame, order: list[str], stamp: dict[str, Column]) -> DataFrame:
@@ -304,7 +308,7 @@ class PairLog:
         store = self.versions.files
         new = _write_buckets(store, rows, self._bucket(old), self.schema.names)
         segment = uuid.uuid4().hex
-        written = _read_files(self.spark, self.path, [f for group in new.values() for f in group], self.schema)
+        written = read_files(self.spark, self.path, [f for group in new.values() for f in group], self.schema)
 
         def pack(key, table):
             bits = make_filter(table.column("h").to_numpy().view(np.uint64))

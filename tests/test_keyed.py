@@ -103,8 +103,8 @@ def test_log_appends_only_new_pairs(spark, tmp_path, monkeypatch):
     known: dict = {}
     nulls = 0
     read = []
-    plain_read = keyed._read_files
-    monkeypatch.setattr(keyed, "_read_files", lambda spark, root, names, schema: (read.append(list(names)), plain_read(spark, root, read[-1], schema))[1])
+    plain_read = keyed.read_files
+    monkeypatch.setattr(keyed, "read_files", lambda spark, root, names, schema: (read.append(list(names)), plain_read(spark, root, read[-1], schema))[1])
     for turn in range(4):
         pairs = {(rng.randrange(60), f"{rng.randrange(8)}") for _ in range(40)}
         new = spark.createDataFrame([*pairs, (None, "1"), (5, None)], "cc_id long, abn string")

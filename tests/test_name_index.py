@@ -42,14 +42,14 @@ def both(crawl, registry, index, **how):
 @pytest.fixture
 def reads(monkeypatch):
     seen: list[str] = []
-    plain = keyed._read_files
+    plain = keyed.read_files
 
     def read(spark, root, names, schema):
         names = list(names)
         seen.extend(f"{root}/{n}" for n in names)
         return plain(spark, root, names, schema)
 
-    monkeypatch.setattr(keyed, "_read_files", read)
+    monkeypatch.setattr(keyed, "read_files", read)
     return seen
 
 
