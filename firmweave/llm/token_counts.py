@@ -5,6 +5,12 @@ pattern has no branch that passes it, and no special token holds a space. So suc
 encoded alone. Texts of usual size are cut there, and each different piece is encoded once a worker. Huge texts are encoded in
 overlapping chunks with offsets; two chunks are spliced at the last stable boundary in their overlap at which both
 begin a token, and the overlap is widened until there is one.
+
+Chunks also take other boundaries, so that texts without spaces have them: the pattern's branches hold letters, digits, other signs or white
+space alone, but for a space before any of these and for an apostrophe before letters, and look ahead from white space only. So
+a boundary after a character that is no white space is stable where the kind changes, unless that character is an apostrophe or an added
+token of the tokenizer lies across. Kinds are those on which Unicode 3.2 and Python's present tables agree; other characters
+have none. Only a run of one kind (or of such characters) has to be encoded whole, as the library does.
 """
 
 from __future__ import annotations
@@ -12,6 +18,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +50,16 @@ def has_stable_spaces(spec: dict) -> bool:
     return bool(level and plain and not spec.get("normalizer") and spec.get("model", {}).get("type") == "BPE")
 
 
+@lru_cache(maxsize=1 << 16)
+def kind(char: str) -> str | None:
+    """L (letter), N (digit), S (white space) or O (other) where old and present tables agree, else None."""
+    if char.isspace():
+        return "S" if char in " \t\n\r" else None  # other white space is told differently by different libraries
+    then, now = unicodedata.ucd_3_2_0.category(char), unicodedata.category(char)
+    kinds = {c[0] if c[0] in "LN" else "O" for c in (then, now)}
+    return kinds.pop() if len(kinds) == 1 and "Cn" not in (then, now) and "Z" not in (then[0], now[0]) else None
+
+
 class Counter:
     """Counts tokens as ``Tokenizer.encode(text, add_special_tokens=False)`` does."""
 
@@ -49,6 +67,7 @@ class Counter:
         self.tokenizer, self.stable = tokenizer, stable
         self.huge, self.chunk, self.overlap = huge, chunk, overlap
         self.memo = Memo(_MEMO, group="tokens")
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     @classmethod
     def load(cls, path: str, **sizes) -> Counter:
@@ -81,39 +100,54 @@ class Counter:
         stop = min(len(text), self.chunk)
         heads = self._heads(text, start, stop)
         while stop < len(text):
+            cut = None
+            # The overlap is widened to the last place that can be spliced before the next chunk is encoded.
+            at = self._last_stable(text, heads, begin, stop)
             overlap = self.overlap
-            while True:
+            while at is not None and cut is None:
+                while stop - overlap >= at:
+                    overlap *= 2
                 low = max(begin + 1, stop - overlap)
-                right_stop = min(len(text), stop + max(self.chunk, overlap))
+                if low >= at:
+                    low = begin  # counted up to there: a proven boundary, or the start
+                right_stop = min(len(text), stop + self.chunk)
                 right = self._heads(text, low, right_stop)
                 cut = self._common(text, heads, right, low, stop)
-                if cut is not None:
+                if low <= begin + 1:
                     break
-                if low == begin + 1:  # nothing to splice in the whole left chunk: take the right one into it
-                    stop = right_stop
-                    heads = self._heads(text, start, stop)
-                    if stop == len(text):
-                        return total + int((heads >= begin).sum())
-                    overlap = self.overlap
-                    continue
                 overlap *= 2
+            if cut is None:  # a run without such places: the chunk takes in as much again
+                stop = min(len(text), stop + max(self.chunk, stop - start))
+                heads = self._heads(text, start, stop)
+                continue
             total += int(((heads >= begin) & (heads < cut)).sum())
             begin, start, stop, heads = cut, low, right_stop, right
         return total + int((heads >= begin).sum())
 
+    def is_stable(self, text: str, at: int) -> bool:
+        """Whether both sides of the boundary before ``at`` can be encoded alone."""
+        before, after = kind(text[at - 1]), kind(text[at])
+        if text[at] == " " and not text[at + 1].isspace():
+            fits = True
+        else:
+            fits = before is not None and after is not None and before not in ("S", after) and text[at - 1] != "'"
+        return fits and not any(text.find(t, max(0, at - len(t) + 1), at + len(t) - 1) >= 0 for t in self.added)
+
+    def _last_stable(self, text: str, heads: np.ndarray, begin: int, stop: int) -> int | None:
+        """The last stable place among the tokens' beginnings between ``begin`` and stop - 1."""
+        for at in np.unique(heads[(heads > begin) & (heads < stop - 1)])[::-1].tolist():
+            if self.is_stable(text, at):
+                return at
+        return None
+
     def _heads(self, text: str, start: int, stop: int) -> np.ndarray:
         """Where the tokens of a chunk begin."""
         offsets = self._encode([text[start:stop]])[0].offsets
         return np.array([a for a, _ in offsets], np.int64) + start
 
-    @staticmethod
-    def _common(text: str, left: np.ndarray, right: np.ndarray, low: int, stop: int) -> int | None:
+    def _common(self, text: str, left: np.ndarray, right: np.ndarray, low: int, stop: int) -> int | None:
         """The last place within low + 1 .. stop - 2 that is stable and begins a token on both sides."""
-        both = np.intersect1d(left, right)
-        for at in both[(both > low) & (both < stop - 1)][::-1].tolist():
-            if text[at] == " " and not text[at + 1].isspace():
-                return at
-        return None
+        return self._last_stable(text, np.intersect1d(left, right), low, stop)
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, huge: int = HUGE) -> DataFrame:

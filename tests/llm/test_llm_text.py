@@ -239,6 +239,29 @@ def test_spliced_chunks_equal_the_whole(counter, texts, chunk, overlap):
     assert small.counts(texts) == library_counts(counter, texts)
 
 
+def test_boundaries_without_spaces_are_stable(counter):
+    """Cut anywhere that is told to be stable, both sides give the tokens of the whole."""
+    rnd = random.Random(4)
+    signs = ["a", "Z", "é", "日", "本", "、", "。", "1", "٣", "²", "'", "'s", "'ll", "-", "__", "<", "|", "<|endoftext|>", "\n", "\n\n", " ", "\t", "\x85", "\u200b", "\u3000", "\U0001f600", "\u0301", "Ⅷ", "\u1c80", "\U0001fae0", "\x1c", "ﬁ", "़"]
+    for _ in range(400):
+        text = "".join(rnd.choices(signs, k=rnd.randint(3, 25)))
+        whole = library_counts(counter, [text])[0]
+        for at in range(1, len(text) - 1):
+            if counter.is_stable(text, at):
+                assert sum(library_counts(counter, [text[:at], text[at:]])) == whole, (text, at)
+
+
+@pytest.mark.parametrize("unit", ["日本語の文章、これは長い。", "x=f(1);y+=g[22];", "{\"k\":[1,2]},\n", "日本語"])
+def test_texts_without_spaces_are_not_encoded_over_and_over(counter, unit):
+    text = unit * (200_000 // len(unit))
+    read = []
+    small = token_counts.Counter(counter.tokenizer, True, chunk=8192, huge=8192)
+    plain_heads = small._heads
+    small._heads = lambda t, a, b: (read.append(b - a), plain_heads(t, a, b))[1]
+    assert small.counts([text]) == library_counts(counter, [text])
+    assert sum(read) < (1.2 if unit != "日本語" else 2.5) * len(text)
+
+
 def test_token_counts_query(spark, docs, counter):
     rows, df = docs
     got = token_counts.count_tokens(df.withColumn("n_tokens", F.lit("old")), tokenizer_file("byte_bpe_50k.json"), limit=50)
