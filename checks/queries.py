@@ -14,8 +14,10 @@ from firmweave.operators import extract, load as loading, match, quality, stats,
 from firmweave.operators.name_index import NameIndex
 from firmweave.operators.similarity_join import Measure, similar_pairs
 from firmweave.plans import models
+from firmweave.plans.kept_mart import KeptMart
 from firmweave.schemas import CRAWL, MATCHES, REGISTRY
 from firmweave.session import cut_lineage, ensure_checkpoint_dir
+from firmweave.sources import tables
 from firmweave.sources.keyed import KeyedTable, PairLog
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +84,33 @@ def companies(spark, sf):
     return table.withColumn("created_at", text_of("created_at"))
 
 
+@query
+def companies_kept(spark, sf):
+    """The kept company table after a second load of register rows, sites and matches that the first one lacked or had otherwise."""
+    root = f"{ensure_checkpoint_dir(spark)}/kept_{uuid.uuid4().hex}"
+
+    def shaped(df, schema):
+        return df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+    registry, crawl, matches = (shaped(df, schema) for df, schema in zip(staged(spark, sf), (REGISTRY, CRAWL, MATCHES)))
+    late = F.col("id") % 5 == 0
+    old = crawl.where(F.col("id") % 7 != 0).withColumn("scraped_company_name", F.when(late, "old name").otherwise(F.col("scraped_company_name")))
+    tables.write_table(registry.withColumn("entity_status", F.when(F.col("abn").endswith("3"), "Cancelled").otherwise(F.col("entity_status"))), root, "registry")
+    tables.write_table(old, root, "crawl")
+    tables.write_table(matches.where("cc_id % 3 <> 0"), root, "matches")
+    kept, now = KeptMart(spark, root), F.lit("2025-01-01").cast("timestamp")
+    kept.refresh(now)
+    rows, sites = cut_lineage(registry.where(F.col("abn").endswith("3"))), cut_lineage(crawl.where(late | (F.col("id") % 7 == 0)))
+
+    def put(fresh, key):
+        return lambda current, _: current.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
+
+    tables.upsert_table(spark, root, "registry", rows, put(rows, "abn"))
+    tables.upsert_table(spark, root, "crawl", sites, put(sites, "website_url"))
+    tables.append_table(spark, root, matches.where("cc_id % 3 = 0").drop("match_id", "created_at"), F.lit("2025-03-17").cast("timestamp"))
+    return kept.refresh(now).drop("company_id", "updated_at").withColumn("created_at", text_of("created_at"))
+
+
 @query
 def companies_one_per_abn(spark, sf):
     return models.one_row_per_abn(mart(spark, sf)).select("abn", "company_name", "website_url", "match_confidence")
