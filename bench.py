@@ -20,7 +20,8 @@ from checks.fixtures import load
 from checks.queries import QUERIES
 from firmweave.operators import extract, match
 from firmweave.operators import load as loading
-from firmweave.operators.similarity_join import Measure
+from firmweave.operators.segment_join import probe_rows, segment_rows
+from firmweave.operators.similarity_join import Measure, name_tokens, prefix_rows, token_counts
 from firmweave.operators.top_join import top_pairs
 from firmweave.session import build_session
 from firmweave.sources import archive, register_xml
@@ -119,6 +120,20 @@ def top_join_pairs(spark: SparkSession, sf: str, k: int = 5, floor: float = 0.6)
     return {"top_pairs_scored": scored.value, "top_pairs_all": sites.count() * names.count(), "top_pairs_sec": took}
 
 
+def edit_join_pairs(spark: SparkSession, sf: str, floor: float = 0.85) -> dict[str, int]:
+    """Pairs that meet in the edit-distance join through segments, and that would through prefix grams; not part of the total."""
+    crawl, registry = load(spark, sf, "crawl_fx"), load(spark, sf, "registry_fx")
+    sites = match.named_sites(crawl, None).select("name").where("name <> ''").distinct().persist()
+    names = match.active_names(registry).select("name").where("name <> ''").distinct().persist()
+    measure = Measure("edit", floor)
+    q = measure.token_size()
+    counts = token_counts(name_tokens(sites, q), name_tokens(names, q))
+    order = [a * b for a, b in zip(*counts)]
+    grams = prefix_rows(sites, q, measure, order).join(prefix_rows(names, q, measure, order).select("token"), "token")
+    segments = probe_rows(sites, floor).join(segment_rows(names, floor).select("token"), "token")
+    return {"edit_pairs_by_segments": segments.count(), "edit_pairs_by_grams": grams.count(), "edit_pairs_all": sites.count() * names.count()}
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -166,6 +181,7 @@ def main() -> None:
         timed(name, lambda: consume(QUERIES[name](spark, sf)))
         print(f"{name} {seconds[name]}", file=sys.stderr)
     extra |= top_join_pairs(spark, sf)
+    extra |= edit_join_pairs(spark, sf)
     total = round(sum(seconds.values()), 3)
     print(json.dumps({"metric": "total_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": sf, **extra}))
 

@@ -12,6 +12,8 @@ thrown out by conditions that Spark evaluates inside the join:
 * Lengths, positions, ranks and the count of shared characters are checked in
   the join condition, as integers.
 
+The edit measure at floors from ``LEAST_FLOOR`` up goes through segments of names instead (``segment_join``).
+
 Token frequencies are held in a fixed number of hash buckets, so what the driver
 sees does not grow with the data. The same counts give the fan-out of hot tokens.
 """
@@ -33,9 +35,11 @@ from firmweave.functions.similarity import (
     EPSILON,
     MASKS,
     count_masks,
+    edit_similarity,
     ratio,
     shared_characters,
 )
+from firmweave.operators.segment_join import LEAST_FLOOR, probe_rows, segment_rows, within_floor
 
 BUCKETS = 1024
 # Tokens of one kind that may meet in one task, on either side.
@@ -209,6 +213,8 @@ def candidate_pairs(
     own in ``low``, not below the measure's. ``first_letter``
     asks for equal first letters in addition (a documented shortcut that loses pairs).
     """
+    if measure.name == "edit" and measure.floor >= LEAST_FLOOR:
+        return segment_pairs(sites, register, measure, first_letter, group_rows)
     q = measure.token_size()
     site_counts, register_counts = token_counts(name_tokens(sites, q), name_tokens(register, q))
     order = [a * b for a, b in zip(site_counts, register_counts)]
@@ -222,6 +228,34 @@ def candidate_pairs(
     return meeting_pairs(left, right, measure, q, first_letter)
 
 
+def segment_pairs(sites: DataFrame, register: DataFrame, measure: Measure, first_letter: bool = False, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``candidate_pairs`` for the edit measure, through segments; the bound is the similarity itself."""
+    left, right = probe_rows(sites, measure.floor), segment_rows(register, measure.floor)
+    site_counts, register_counts = token_counts(left, right)
+    site_fan, register_fan = fan_out(site_counts, group_rows), fan_out(register_counts, group_rows)
+    left = _salts(left, "salt_s", "salt_r", site_fan, register_fan)
+    right = _salts(right, "salt_r", "salt_s", register_fan, site_fan)
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["token", "salt_s", "salt_r"]
+    left, right = left.repartition(tasks, *keys).alias("s"), right.repartition(tasks, *keys).alias("r")
+    shared = shared_characters("s", "r")
+    condition = (shared >= F.greatest("s.len", "r.len") * F.col("s.low") - EPSILON) & within_floor("s", "r")
+    if first_letter:
+        condition = (F.left(F.col("s.name"), F.lit(1)) == F.left(F.col("r.name"), F.lit(1))) & condition
+    for key in keys:
+        condition = (F.col(f"s.{key}") == F.col(f"r.{key}")) & condition
+    pairs = left.join(right, condition, "inner").select(
+        F.col("s.name").alias("site_name"),
+        F.col("r.name").alias("register_name"),
+        F.col("s.low").alias("low"),
+        edit_similarity(F.col("s.name"), F.col("r.name")).alias("bound"),
+        F.pmod(F.xxhash64("r.name"), F.lit(SHARES)).alias("share"),
+    )
+    # Few pairs are left, found once for each segment they share. The bound comes from the aggregate, so that no filter
+    # on it is moved into the join, before the cheaper conditions.
+    return pairs.groupBy("site_name", "register_name", "share").agg(F.max("bound").alias("bound"), F.max("low").alias("low"))
+
+
 def meeting_pairs(left: DataFrame, right: DataFrame, measure: Measure, q: int, first_letter: bool) -> DataFrame:
     """The pairs of ``candidate_pairs`` from salted prefix rows of sites and register."""
     # A fixed number of tasks: partitions of few bytes can still mean many pairs, and AQE
