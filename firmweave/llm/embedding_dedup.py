@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from firmweave.llm.components import components
 from firmweave.llm.simhash_dedup import Forest
-from firmweave.llm.tables import bound_batches, per_batch, per_shard, settle, shards
+from firmweave.llm.tables import bound_batches, per_batch, per_shard, row_shards, settle
 
 # Neighbours compared on each side, and passes. They unite most of what is near; results do not depend on them.
 PASSES = 12
@@ -146,10 +146,9 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
 
     A component is cut into blocks; each pair of blocks is compared in one place, and only counts leave it.
     """
-    spark = members.sparkSession
-    n = shards(spark)
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.first(F.size("embedding")).alias("width"))
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    n = row_shards(sizes, F.col("size") * parts * F.col("width").cast("bigint") * 8)
     part = F.pmod(F.xxhash64("cid"), parts).cast("int")
     dealt = members.join(sizes, "root").select("root", "cid", "copies", "embedding", part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
     dealt = dealt.select("root", "cid", "copies", "embedding", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), (F.col("part") > F.col("other")).cast("int").alias("side"))

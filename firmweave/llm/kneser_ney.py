@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from firmweave.llm.repeats import grams_of
-from firmweave.llm.tables import Texts, chunk_table, cuts, pack_sorted, per_chunk, per_chunk_with, per_shard, settle, shard_of, shards, unpack_sorted
+from firmweave.llm.tables import Texts, chunk_table, cuts, pack_sorted, per_chunk, per_chunk_with, per_shard, settle, shard_of, text_shards, unpack_sorted
 from firmweave.llm.words import WHITE, mix, word_bounds, word_hashes
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -251,14 +251,13 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     """
     if order < 1:
         raise ValueError("order is at least 1")
-    spark = docs.sparkSession
     added = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     others = [c for c in docs.columns if c not in ("doc_id", "text", *added)]
     rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
     marked = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"), rest.alias("others"))
     chunks = chunk_table(marked, name="kneser_ney", size=_CHUNK)
     narrow = chunks.select("_chunk", "_id", "_text", F.struct("_rest.held_out").alias("_rest"))
-    n = shards(spark)
+    n = text_shards(chunks, _CHUNK)
     stats: dict[int, list[int]] = {}
     told = None
     for k in range(order, 0, -1):

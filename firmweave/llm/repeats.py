@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from firmweave.llm.tables import Texts, blobs, chunk_table, cuts, per_chunk, per_chunk_with, per_shard, settle, shard_of, shards
+from firmweave.llm.tables import Texts, blobs, chunk_table, cuts, per_chunk, per_chunk_with, per_shard, settle, shard_of, text_shards
 from firmweave.llm.words import WHITE, join, mix, sliding_min, word_bounds, word_hashes
 
 _POS_BITS = np.uint64(18)
@@ -383,9 +383,8 @@ def remove_windows(docs: DataFrame, windows: Windows, compare, between_docs: boo
     ``between_docs``: a window counts if it starts in a row with a smaller id; else if it starts anywhere else.
     Returns ``_id``, the columns ``out`` and ``_rest``.
     """
-    spark = docs.sparkSession
     chunks = chunk_table(docs, name=name)
-    n = shards(spark)
+    n = text_shards(chunks)
     narrow = chunks.select("_chunk", "_id", "_text")
     asked = per_chunk(narrow, _first_ask(windows, n, between_docs), _ASK)
     first = settle(per_shard(asked, _first_answer, _ASKED), f"{name}_shared")

@@ -17,7 +17,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from firmweave.llm.components import components
 from firmweave.llm.memo import forget
-from firmweave.llm.tables import Texts, bound_batches, per_batch, per_shard, settle, shards
+from firmweave.llm.tables import Texts, bound_batches, per_batch, per_shard, row_shards, settle
 from firmweave.llm.words import WHITE, word_bounds
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -25,6 +25,8 @@ _SEED = 42
 _FAN = 8
 # Fingerprints of one block value from which on they are dealt as pairs of parts; pairs held at once. Layout only.
 PART = 1024
+# Bytes of a fingerprint dealt to a shard, with its block and parts.
+_ROW_BYTES = 32
 _AT_ONCE = 1 << 18
 
 
@@ -179,11 +181,11 @@ def fingerprint_links(codes: DataFrame, radius: int = 3) -> DataFrame:
     """
     if not 0 <= radius <= 3:
         raise ValueError("a radius of 0 to 3 is needed: with four blocks, one then agrees")
-    n = shards(codes.sparkSession)
     blocks = F.array(*[F.struct(F.lit(k).alias("band"), F.shiftrightunsigned("code", 16 * k).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("block")) for k in range(4)])
     dealt = codes.select("code", F.inline(blocks))
     sizes = dealt.groupBy("band", "block").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     parts = F.ceil(F.col("size") / PART).cast("int")
+    n = row_shards(sizes, F.col("size") * parts * _ROW_BYTES)
     part = F.pmod(F.xxhash64("code"), parts).cast("int")
     dealt = dealt.join(sizes, ["band", "block"]).select("band", "block", "code", part.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
     dealt = dealt.select("band", "block", "code", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), (F.col("part") > F.col("other")).cast("int").alias("side"))

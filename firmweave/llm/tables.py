@@ -12,6 +12,7 @@ Operators that compare every text with every other one work in three steps:
 from __future__ import annotations
 
 import ctypes
+import math
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,7 +20,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -30,6 +31,8 @@ from firmweave.session import ensure_checkpoint_dir
 CHUNK_BYTES = 6 << 20
 BATCH_BYTES = 1 << 20
 MAX_BUCKETS = 100_000
+# What a shard holds, about: the keys of so many bytes of text, or rows of so many bytes. Layout only, too.
+SHARD_BYTES = 32 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -39,8 +42,24 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def shards(spark: SparkSession) -> int:
-    return 4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def shards(spark: SparkSession, filled: float) -> int:
+    """Number of shards for what fills ``filled`` of them: a shard is held whole by one task, so they grow in number, not in size.
+
+    At least four for each shuffle partition, so that small inputs spread as well.
+    """
+    return max(4 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), math.ceil(filled))
+
+
+def text_shards(chunks: DataFrame, size: int = CHUNK_BYTES) -> int:
+    """Shards for the keys of a ``chunk_table`` written in chunks of ``size``: reads the chunk numbers, which need no shuffle."""
+    chunk_count = chunks.agg(F.count_distinct("_chunk")).first()[0]
+    return shards(chunks.sparkSession, chunk_count * size / SHARD_BYTES)
+
+
+def row_shards(rows: DataFrame, dealt: Column) -> int:
+    """Shards for what ``rows`` are dealt as; ``dealt`` is its bytes for each row."""
+    total = rows.agg(F.coalesce(F.sum(dealt), F.lit(0))).first()[0]
+    return shards(rows.sparkSession, total / SHARD_BYTES)
 
 
 def give_back() -> None:
