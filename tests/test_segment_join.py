@@ -91,3 +91,22 @@ def test_empty_sides(spark):
     some, none = frame(spark, ["ABCDEF"]), frame(spark, [])
     measure = Measure("edit", 0.85)
     assert similar_pairs(none, some, measure).count() == similar_pairs(some, none, measure).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_places_without_a_segment_are_not_sent(spark, monkeypatch, few):
+    names = [f"UNRELATED SITE {i}" for i in range(1000, 1400)] + ["LARGE RING BRAND7 SMALL", "LARGE RING BRAND17 SMAL"]
+    register = ["LARGE RING BRAND7 SMALL", "HOT BOLT BRAND12 PROMO"]
+    sent = []
+    plain = similarity_join._salts
+
+    def counted(rows, own, other, own_fan, other_fan):
+        sent.append(rows.count())
+        return plain(rows, own, other, own_fan, other_fan)
+
+    monkeypatch.setattr(similarity_join, "_salts", counted)
+    monkeypatch.setattr(similarity_join, "FEW_ROWS", few)
+    got = {(r[0], r[1]) for r in similar_pairs(frame(spark, names), frame(spark, register), Measure("edit", 0.85)).collect()}
+    assert got == {(s, "LARGE RING BRAND7 SMALL") for s in names[-2:]}
+    asked = probe_rows(frame(spark, names), 0.85).count()
+    assert sent[0] == asked if few == 0 else sent[0] < asked / 100

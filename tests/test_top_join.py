@@ -111,3 +111,37 @@ def test_top_pairs_edit_measure_and_empty_sides(spark, names):
     assert best(got) == best(want) != {}
     assert top_join.top_pairs(left.limit(0), right, Measure("ratio", 0.6), 2).count() == 0
     assert top_join.top_pairs(left, right.limit(0), Measure("ratio", 0.6), 2).count() == 0
+
+
+def test_seeds_below_a_bound_raise_the_floors(spark):
+    # 30 names too alike to be used, which alone were seeds before, and 10 that are usable.
+    site = "ACME STEEL HARBOUR NORTH"
+    alike = [f"{site} {c}" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ1234"]
+    usable = [f"{site} {c}QZ PLUMBING GROUP" for c in "ABCDEFGHIJ"]
+    left, right = (spark.createDataFrame([(n,) for n in side], "name string") for side in ([site], alike + usable))
+    low = top_join.site_floors(left, right, Measure("ratio", 0.6), 5, below=0.85).first().low
+    values = sorted((v for n in alike + usable if (v := plain_ratio(site, n)) < 0.85), reverse=True)
+    assert 0.6 < low <= values[4]
+
+
+def test_names_of_the_same_characters_meet_once(spark, monkeypatch):
+    from firmweave.operators import similarity_join
+
+    digits = [f"{i:04d}" for i in range(0, 10_000, 37)]
+    sites = sorted({f"SITE {''.join(sorted(d))} RED" for d in digits} | {f"SITE {d} RED" for d in digits})
+    register = ["SITE 1234 RED", "RED SITE 0042", "BLUE", "É 東京 SITE", "AAB", "BAA"]
+    sites += ["BAA", "É 東京", "ABA"]
+    rows = []
+    plain = similarity_join.bag_rows
+
+    def counted(bags, measure, order):
+        rows.append(bags.count())
+        return plain(bags, measure, order)
+
+    monkeypatch.setattr(similarity_join, "bag_rows", counted)
+    left, right = (spark.createDataFrame([(n,) for n in side], "name string") for side in (sites, register))
+    got = {(r[0], r[1]): r[2] for r in similarity_join.similar_pairs(left, right, Measure("ratio", 0.6)).collect()}
+    want = {(s, r): v for s in sites for r in register if (v := plain_ratio(s, r)) >= 0.6}
+    assert got == want
+    assert rows == [len({"".join(sorted(n)) for n in sites}), len({"".join(sorted(n)) for n in register})]
+    assert rows[0] < len(sites) and rows[1] < len(register)
