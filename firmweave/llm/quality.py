@@ -201,7 +201,11 @@ class Scorer:
 
     def __init__(self, weights: dict[str, list[float]]):
         self.weights = weights
-        self.shapes = {f.split(" ", 1)[1] for f in weights if f[:1] == "s" and " " in f}
+        # Shares of each shape that tell, with their features; and the weights by trait.
+        self.shapes: dict[str, list[tuple[float, str]]] = {}
+        for s in {f.split(" ", 1)[1] for f in weights if f[:1] == "s" and " " in f}:
+            self.shapes[s] = [(least, f) for least in _SHARES if (f := f"s{least} {s}") in weights]
+        self.by_trait = [{f: w[i] for f, w in weights.items()} for i in range(len(TRAITS))] if "" in weights else []
         self.memo = Memo(_MEMO, group="quality")
 
     def _of(self, words: list[str]) -> list[tuple]:
@@ -220,21 +224,22 @@ class Scorer:
         for words, counts, text in zip(split, counted, texts, strict=True):
             found = {f for f in text_features(words, counts, text or "") if f in self.weights}
             shapes: dict[str, int] = {}
-            for word, n in counts.items():
-                known, s = get(word)
-                if known:
-                    found.update(known)
+            known = list(map(get, counts))
+            found.update(*[features for features, _ in known])
+            for (_, s), n in zip(known, counts.values(), strict=True):
                 if s is not None:
                     shapes[s] = shapes.get(s, 0) + n
-            found.update(f for f in shape_features(shapes, len(words)) if f in self.weights)
+            for s, n in shapes.items():
+                found.update([f for least, f in self.shapes[s] if n >= least * len(words)])
             out.append(found)
         return out
 
     def evidence(self, texts: list[str | None]) -> list[list[float]]:
         out = []
         for found in self.found(texts):
-            rows = [self.weights[f] for f in ["", *sorted(found)]]
-            out.append([math.fsum(column) for column in zip(*rows, strict=True)])
+            found.add("")
+            # ``fsum`` is exact, so features come in any order.
+            out.append([math.fsum(map(weights.__getitem__, found)) for weights in self.by_trait])
         return out
 
 
