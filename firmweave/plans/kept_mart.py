@@ -29,7 +29,9 @@ from firmweave.sources.keyed import Files, KeyedTable, Versions, read_files
 _KEY = "row_key"
 _SCHEMA = T.StructType([T.StructField(_KEY, T.StringType()), *COMPANIES.fields])
 _CONTENT = [c for c in COMPANIES.names if c not in ("company_id", "updated_at")]
-_SOURCES = ("registry", "crawl", "matches")
+# The sources, with the columns by which a changed row touches the table.
+_KEYS = {"registry": ["abn"], "crawl": ["id", "website_url"], "matches": ["cc_id", "abn"]}
+_SOURCES = tuple(_KEYS)
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
@@ -37,17 +39,19 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 
 def _changed(spark: SparkSession, root: str, name: str, old: dict, new: dict) -> DataFrame | None:
-    """Rows of a table that are in one of two versions only (all columns); None where old files are gone."""
+    """Keys (the columns of ``_KEYS``) of rows of a table that one of two versions has more often, each once; None where old files are gone."""
     before = {f for group in old.values() for f in group}
     after = {f for group in new.values() for f in group}
     path, schema = f"{root}/{name}", tables.TABLES[name]
     store, gone, come = Files(spark, path), sorted(before - after), sorted(after - before)
     if not all(store.exists(f"data/{f}") for f in gone):
         return None
-    left, right = read_files(spark, path, gone, schema), read_files(spark, path, come, schema)
-    if not gone:
-        return cut_lineage(right)
-    return cut_lineage(left.exceptAll(right).unionByName(right.exceptAll(left)))
+    rows = read_files(spark, path, come, schema)
+    if gone:
+        # Both versions in one pass: what is left after rows of the one are set off against equal rows of the other.
+        both = rows.withColumn("_more", F.lit(1)).unionByName(read_files(spark, path, gone, schema).withColumn("_more", F.lit(-1)))
+        rows = both.groupBy(*schema.names).agg(F.sum("_more").alias("_more")).where("_more <> 0")
+    return cut_lineage(rows.select(*_KEYS[name]).distinct())
 
 
 def _distinct(frames: Iterable[DataFrame], column: str) -> DataFrame:
@@ -151,12 +155,15 @@ class KeptMart:
         ]
         identity = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(same)])
 
-        def placed(df: DataFrame) -> DataFrame:
-            order = Window.partitionBy("_same").orderBy(F.col("created_at"), F.col("match_confidence"), F.xxhash64(*_CONTENT))
-            return df.withColumn("_same", identity).withColumn("_nth", F.row_number().over(order))
-
-        before = placed(old).select("_same", "_nth", "company_id", "updated_at", F.struct(*_CONTENT).alias("_was"))
-        joined = cut_lineage(placed(rows).join(before, ["_same", "_nth"], "left"))
+        # Rows and the old rows they continue meet in one shuffle, by identity: both windows keep to it.
+        was = F.struct("company_id", "updated_at", F.struct(*_CONTENT).alias("content"))
+        both = rows.select(*_CONTENT, F.lit(None).cast("bigint").alias("company_id"), F.lit(None).cast("timestamp").alias("updated_at"), F.lit(False).alias("_old"))
+        both = both.unionByName(old.select(*_CONTENT, "company_id", "updated_at", F.lit(True).alias("_old")))
+        order = Window.partitionBy("_same", "_old").orderBy(F.col("created_at"), F.col("match_confidence"), F.xxhash64(*_CONTENT))
+        placed = both.withColumn("_same", identity).repartition("_same").withColumn("_nth", F.row_number().over(order))
+        next_old = F.lead(F.when(F.col("_old"), was)).over(Window.partitionBy("_same", "_nth").orderBy("_old"))
+        found = placed.withColumn("_was", next_old).where(~F.col("_old"))
+        joined = cut_lineage(found.select(*_CONTENT, "_was.company_id", "_was.updated_at", F.col("_was.content").alias("_was")))
         stays = joined.where(F.col("company_id").isNotNull())
         unchanged = F.struct(*_CONTENT).eqNullSafe(F.col("_was"))
         stays = stays.withColumn("updated_at", F.when(unchanged, F.col("updated_at")).otherwise(now))

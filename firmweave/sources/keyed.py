@@ -317,7 +317,7 @@ class PairLog:
         pairs = written.select(F.xxhash64(*self.key).alias("h"), self._bucket(old).alias(BUCKET))
         packed = pairs.groupBy(BUCKET).applyInArrow(lambda key, t: pack(key, t), f"segment string, {BUCKET} int, bits binary")
         folder = uuid.uuid4().hex
-        packed.coalesce(1).write.parquet(f"{self.path}/{_DATA}/{folder}")
+        packed.write.parquet(f"{self.path}/{_DATA}/{folder}")
         top = written.agg(F.coalesce(F.max(self.number), F.lit(0))).first()[0]
         version = old["version"] + 1 if old else 1
         named = {f"{segment}:{b}": group for b, group in new.items()}

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from firmweave.plans import models
+from firmweave.plans import kept_mart, models
 from firmweave.plans.kept_mart import KeptMart
 from firmweave.schemas import COMPANIES, CRAWL, MATCHES, REGISTRY
 from firmweave.sources import tables
@@ -93,3 +93,35 @@ def test_kept_mart_follows_its_sources(spark, tmp_path, active_only):
     mart.expire()
     fourth = check(spark, root, mart, active_only)
     assert {k: r.company_id for k, r in third.items()} == {k: r.company_id for k, r in fourth.items()}
+
+
+def test_changed_keys_come_once(spark, tmp_path):
+    root = str(tmp_path)
+    tables.write_table(register(spark, [("1", "A", "Active"), ("2", "B", "Active"), ("2", "B", "Active"), (None, "N", "Active"), ("3", "C", None)]), root, "registry")
+    old = tables.stored(spark, root, "registry").versions.load()["files"]
+    tables.write_table(register(spark, [("1", "A", "Active"), ("2", "B", "Active"), (None, "M", "Active"), ("3", "C", None), ("4", "D", "Active"), ("4", "E", "Active")]), root, "registry")
+    new = tables.stored(spark, root, "registry").versions.load()["files"]
+    # A row that is there less often, a row without number and a new number; row 3, with a NULL in it, is the same.
+    assert sorted((tuple(r) for r in kept_mart._changed(spark, root, "registry", old, new).collect()), key=str) == [("2",), ("4",), (None,)]
+
+
+def test_rows_of_one_identity_keep_ids_in_order(spark):
+    def row(source, url, abn, confidence, name):
+        return {"data_source": source, "website_url": url, "abn": abn, "match_confidence": confidence, "company_name": name}
+
+    rows = [row("BOTH", "u1", "1", 0.7, "A"), row("BOTH", "u1", "1", 0.9, "B"), row("CC", "u2", "5", None, "C"), row("ABR", None, "7", None, "D"), row("ABR", None, "7", None, "E")]
+    schema = "data_source string, website_url string, abn string, match_confidence double, company_name string"
+
+    def frame(rows):
+        made = spark.createDataFrame([tuple(r.values()) for r in rows], schema)
+        return made.select(*[F.col(f.name).cast(f.dataType) if f.name in made.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in COMPANIES])
+
+    then = F.lit("2025-01-01").cast("timestamp")
+    old = frame([rows[0], rows[1], rows[2] | {"abn": "4"}, rows[3]])
+    ids = F.when(F.col("website_url") == "u2", 3).when(F.col("abn") == "7", 4).when(F.col("company_name") == "A", 1).otherwise(2).cast("bigint")
+    old = old.withColumn("company_id", ids).withColumn("updated_at", then)
+    got = KeptMart._numbered(frame(rows), old, 9, F.lit("2026-01-01").cast("timestamp")).collect()
+    found = {r.company_name: (r.company_id, r.updated_at.year) for r in got}
+    # The site whose number changed keeps its id with a new time stamp; of two rows of number 7 one goes on and one is new.
+    assert found["A"] == (1, 2025) and found["B"] == (2, 2025) and found["C"] == (3, 2026)
+    assert sorted([found["D"][0], found["E"][0]]) == [4, 10] and len(got) == 5

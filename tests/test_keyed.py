@@ -133,6 +133,21 @@ def test_log_appends_only_new_pairs(spark, tmp_path, monkeypatch):
     assert log.unseen(spark.createDataFrame(list(known), "cc_id long, abn string")).count() == 0
 
 
+def test_filters_are_made_by_several_tasks(spark, tmp_path):
+    log = keyed.PairLog(spark, str(tmp_path / "m"), LOG, ["cc_id", "abn"], "match_id", buckets=8)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        log.replace(spark.range(40).selectExpr("id AS match_id", "id AS cc_id", "'1' AS abn", "'' AS at"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    folder = log.versions.load()["filters"][0]
+    assert len(list((tmp_path / "m" / "data" / folder).glob("*.parquet"))) > 1
+    assert log.unseen(spark.createDataFrame([(i, "1") for i in range(39, 42)], "cc_id long, abn string")).count() == 2
+
+
 def test_tables_of_the_job(spark, tmp_path):
     root = str(tmp_path)
     crawl = spark.createDataFrame([(i, f"u{i}") for i in range(1, 30)], "id long, website_url string")
