@@ -19,12 +19,13 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 
 from firmweave.llm.repeats import grams_of
 from firmweave.llm.tables import Texts, chunk_table, cuts, pack_sorted, per_chunk, per_chunk_with, per_shard, settle, shard_of, text_shards, unpack_sorted
-from firmweave.llm.words import WHITE, mix, word_bounds, word_hashes
+from firmweave.llm.words import WHITE, distinct, mix, ranking, word_bounds, word_hashes
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _BEGIN, _END = np.uint64(0xB0D1E5), np.uint64(0xE7D)
 # Bits of a hash: at 10 ** 13 different n-grams about one in ten thousand shares its hash.
 _DROP = np.uint64(8)
+_BITS = 56
 _CHUNK = 12 << 20
 
 _FIELDS = ("count", "raw", "total", "n1", "n2", "n3")
@@ -44,13 +45,13 @@ class Grams:
         pad = order - 1
         begin = np.concatenate([[0], np.cumsum(words + 1 + pad)])
         self.flat = np.full(int(begin[-1]), _BEGIN, np.uint64)
-        inner = np.arange(len(starts)) - np.repeat(at[:-1], words)
-        self.flat[np.repeat(begin[:-1] + pad, words) + inner] = word_hashes(data, starts, ends)
+        self.flat[np.arange(len(starts)) + np.repeat(begin[:-1] + pad - at[:-1], words)] = word_hashes(data, starts, ends)
         self.flat[begin[1:] - 1] = _END
         self.n_tokens = words + 1
         real = np.ones(len(self.flat), bool)
         if pad:
             real[(begin[:-1, None] + np.arange(pad)).ravel()] = False
+        self.real = real
         self.at = np.flatnonzero(real)  # tokens to be scored, text by text
         self.train = np.repeat(~self.held_out, self.n_tokens)
         self.heads = np.cumsum(self.n_tokens) - self.n_tokens
@@ -64,13 +65,14 @@ class Grams:
     def level(self, k: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Different k-grams of the chunk, the number of each token's k-gram, and of its context (k-gram before it)."""
         if k == order:
-            keys, own = np.unique(self.ending(k, self.at), return_inverse=True)
+            keys, own = distinct(self.ending(k, self.at), _BITS)
             return keys, own, own
         # A text begins with more begins than a context has tokens, so no gram reaches into the text before. The context of a token
         # ends where the token before it ends: only those of first tokens are places of their own.
-        places = np.unique(np.concatenate([self.at, self.at[self.heads] - 1])) if len(self.at) else self.at
-        keys, inverse = np.unique(self.ending(k, places), return_inverse=True)
-        own = np.searchsorted(places, self.at)
+        used = self.real.copy()
+        used[self.at[self.heads] - 1] = True
+        keys, inverse = distinct(self.ending(k, np.flatnonzero(used)), _BITS)
+        own = (np.cumsum(used) - 1)[self.at]
         return keys, inverse[own], inverse[own - 1]
 
 
@@ -108,22 +110,23 @@ def _ask_top(order: int, n_shards: int):
     return ask
 
 
-def _told_level(g: Grams, k: int, order: int, n_shards: int, told: pa.Table) -> dict[str, np.ndarray]:
+def _told_level(k: int, told: pa.Table, fields: tuple[str, ...]) -> dict[str, np.ndarray]:
     """What the shards told of each k-gram of the chunk, in the order of ``level``."""
-    rows = told.filter(pa.compute.equal(told.column("level"), k)).sort_by("shard")
-    return {f: np.concatenate([_wide(x.as_buffer()) for x in rows.column(f)]) if rows.num_rows else np.zeros(0, np.int64) for f in (*_FIELDS, "owner")}
+    rows = np.flatnonzero(told.column("level").to_numpy() == k)
+    order = rows[np.argsort(told.column("shard").to_numpy()[rows])].tolist()
+    columns = {f: told.column(f) for f in fields}
+    return {f: np.concatenate([_wide(c[i].as_buffer()) for i in order]) if order else np.zeros(0, np.int64) for f, c in columns.items()}
 
 
 def _ask_lower(k: int, order: int, n_shards: int):
     def ask(key, table, told):
         g = Grams(table, order)
         _, upper, _ = g.level(k + 1, order)
-        above = _told_level(g, k + 1, order, n_shards, told)
+        above = _told_level(k + 1, told, ("count", "owner"))
         keys, own, context = g.level(k, order)
-        sample = np.zeros(len(above["count"]), np.int64)
+        sample = np.full(len(above["count"]), -1)
         sample[upper] = np.arange(len(upper))
-        mine = np.flatnonzero((above["owner"] > 0) & (above["count"] > 0))
-        mine = mine[np.bincount(upper, minlength=len(above["count"]))[mine] > 0]
+        mine = np.flatnonzero((above["owner"] > 0) & (above["count"] > 0) & (sample >= 0))
         where, count = sample[mine], above["count"][mine]
         size = len(keys)
         columns = {"count": np.bincount(own[where], minlength=size), "total": np.bincount(context[where], weights=count, minlength=size).astype(np.int64)}
@@ -152,40 +155,38 @@ def _answer(key, table):
     hashes = [unpack_sorted(x.as_buffer()) for x in table.column("hashes")]
     sizes = [len(h) for h in hashes]
     flat = np.concatenate(hashes)
-    columns = np.zeros((len(_FIELDS), len(flat)), np.int64)
-    for i, f in enumerate(_FIELDS):
-        got = table.column(f)
-        end = 0
-        for row, n in enumerate(sizes):
-            raw = got[row].as_buffer()
-            if raw is not None and raw.size:
-                columns[i, end : end + n] = _wide(raw)
-            end += n
-    order = np.argsort(flat, kind="stable")
-    ranked = flat[order]
+    order, ranked = ranking(flat, _BITS)
     heads = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-    summed = np.add.reduceat(columns[:, order], heads, axis=1)
-    keys, values = _store(ranked[heads], summed)
+    sent, columns = [], []  # a level sends the same fields from every chunk
+    for f in _FIELDS:
+        got = [x.as_buffer() for x in table.column(f)]
+        if any(raw is not None and raw.size for raw in got):
+            sent.append(f)
+            columns.append(np.concatenate([_wide(raw) if raw is not None and raw.size else np.zeros(n, np.int64) for raw, n in zip(got, sizes, strict=True)]))
+    keys, values = _store(ranked[heads], np.stack([np.add.reduceat(c[order], heads) for c in columns]))
+    known = dict(zip(sent, map(np.asarray, values), strict=True))
     # The owner: the first chunk in which the n-gram counts.
     place = np.arange(len(flat))
     place[columns[0] == 0] = len(flat)
     first = np.minimum.reduceat(place[order], heads)
     owner = np.zeros(len(flat), np.uint8)
     owner[first[first < len(flat)]] = 1
-    count, raw = values[0], values[1]
+    count, raw = known["count"], known.get("raw", np.zeros(0, np.int64))
     near = [int((count == c).sum()) for c in (1, 2, 3, 4)]
     stats = [*near, int((count >= 3).sum()), int(count.sum()), int(raw.sum()), int((raw > 0).sum())]
     out: dict[str, list] = {f: [] for f in ("kind", "_chunk", "hashes", "owner", *_FIELDS, "stats")}
 
     def put(kind, chunk, packed, owners, rows, told=None):
-        for f, v in zip(out, (kind, chunk, packed, owners, *[_small(r) for r in rows], told), strict=True):
+        for f, v in zip(out, (kind, chunk, packed, owners, *[b"" if r is None else _small(r) for r in rows], told), strict=True):
             out[f].append(v)
 
-    put("stats", None, b"", b"", np.zeros((len(_FIELDS), 0), np.int64), stats)
+    put("stats", None, b"", b"", [None] * len(_FIELDS), stats)
+    rank = np.empty(len(flat), np.int64)
+    rank[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(flat))))
     end = 0
     for h, chunk in zip(hashes, table.column("_chunk").to_pylist(), strict=True):
-        at = np.searchsorted(keys, h)
-        put("told", chunk, b"", _small(owner[end : end + len(h)]), np.asarray(values[:, at]))
+        at = rank[end : end + len(h)]
+        put("told", chunk, b"", _small(owner[end : end + len(h)]), [known[f][at] if f in known else None for f in _FIELDS])
         end += len(h)
     types = {"kind": pa.string(), "_chunk": pa.int64(), "stats": pa.list_(pa.int64())}
     made = {f: pa.array(v, types.get(f, pa.binary())) for f, v in out.items()}
@@ -214,20 +215,25 @@ def _score(order: int, n_shards: int, stats: dict[int, list[int]], schema: Struc
         for k in range(1, order + 1):
             d = cut[k]
             _, own, before = g.level(k, order)
-            here = _told_level(g, k, order, n_shards, told)
-            c = here["count"][own]
-            less = np.array([0.0, *d])[np.minimum(c, 3)]
+            here = _told_level(k, told, ("count", *(("raw",) if k == 1 else ()), *(("total", "n1", "n2", "n3") if k < order else ())))
+            # Sums of a k-gram and of a context are made once each, then looked up by token.
+            c = here["count"]
+            left = np.maximum(c - np.array([0.0, *d])[np.minimum(c, 3)], 0)[own]
             if k == 1:
                 s = stats[1]
-                total, spare = np.full(len(c), float(s[5])), d[0] * s[0] + d[1] * s[1] + d[2] * s[4]
+                total, spare = np.full(len(own), float(s[5])), d[0] * s[0] + d[1] * s[1] + d[2] * s[4]
+                known = total > 0
+                safe = np.where(known, total, 1.0)
+                share = spare / safe
                 raw = here["raw"][own]
             else:
                 total = context["total"].astype(float)
                 spare = d[0] * context["n1"] + d[1] * context["n2"] + d[2] * context["n3"]
-            known = total > 0
-            safe = np.where(known, total, 1.0)
-            p = np.where(known, np.maximum(c - less, 0) / safe + spare / safe * p, p)
-            context = {f: here[f][before] for f in ("total", "n1", "n2", "n3")}
+                safe = np.where(total > 0, total, 1.0)
+                known, share, safe = (total > 0)[at], (spare / safe)[at], safe[at]
+            p = np.where(known, left / safe + share * p, p)
+            context, at = here, before
+
         def by_text(x):
             return np.add.reduceat(x, g.heads) if len(g.heads) else x
 
@@ -264,7 +270,8 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
         if k == order:
             asked = per_chunk(narrow, _ask_top(order, n), _ASK)
         else:
-            asked = per_chunk_with(narrow, told.where(F.col("level") == k + 1), _ask_lower(k, order, n), _ASK)
+            above = told.where(F.col("level") == k + 1).select("shard", "_chunk", "level", "owner", "count")
+            asked = per_chunk_with(narrow, above, _ask_lower(k, order, n), _ASK)
         level = settle(per_shard(asked, _answer, _TOLD), f"kneser_ney_{k}")
         sums = [F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)).alias(f"s{i}") for i in range(8)]
         stats[k] = list(level.where("kind = 'stats'").agg(*sums).first())  # one row
@@ -281,7 +288,7 @@ def score_texts(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
             chunks.schema["_rest"],
         ]
     )
-    scored = per_chunk_with(chunks, told, _score(order, n, stats, schema), schema)
+    scored = per_chunk_with(chunks, told.drop("owner"), _score(order, n, stats, schema), schema)
     return scored.select(
         F.col("_id").alias("doc_id"),
         *[F.col("_rest.others").getField(c).alias(c) for c in others],

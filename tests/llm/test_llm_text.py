@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 import plain  # noqa: E402
 
-from firmweave.llm import decontaminate, kneser_ney, quality, sentencepiece_codec, token_counts  # noqa: E402
+from firmweave.llm import decontaminate, kneser_ney, quality, sentencepiece_codec, token_counts, words  # noqa: E402
 from firmweave.llm.memo import Memo  # noqa: E402
 from firmweave.llm.queries import QUERIES, tokenizer_file  # noqa: E402
 from firmweave.llm.tables import pack_sorted, unpack_sorted  # noqa: E402
@@ -375,3 +376,34 @@ def test_memo_is_bounded():
     assert asked.count("often") == 1
 
 
+
+
+def test_ranking_of_hashes():
+    rng = np.random.default_rng(4)
+    for n, bits in ((0, 56), (1, 56), (5000, 56), (5000, 5)):
+        values = rng.integers(0, 1 << bits, n, dtype=np.uint64)
+        # Equal numbers, and numbers that differ in their lowest bits alone.
+        values[n // 2 :] = values[: n - n // 2] ^ (np.arange(n - n // 2, dtype=np.uint64) % np.uint64(3))
+        order, ranked = words.ranking(values, bits)
+        assert (order == np.argsort(values, kind="stable")).all() and (ranked == np.sort(values)).all()
+        for got, want in zip(words.distinct(values, bits), np.unique(values, return_inverse=True), strict=True):
+            assert (got == want).all()
+
+
+def test_word_hashes_follow_their_formula(monkeypatch):
+    monkeypatch.setattr(words, "_BLOCK", 64)
+    data = np.frombuffer(b"a bc  " * 40 + b"x" * 300 + b" bc a", np.uint8)
+    starts, ends, _ = words.word_bounds(data, np.array([0, len(data)]), words.WHITE)
+    want = []
+    for lo, hi in zip(starts.tolist(), ends.tolist(), strict=True):
+        want.append(sum(int(words._BYTE[b]) * pow(int(words._STEP), i, 1 << 64) for i, b in enumerate(data[lo:hi].tolist())) % (1 << 64))
+    assert (words.word_hashes(data, starts, ends) == words.mix(np.array(want, np.uint64))).all()
+
+
+def test_language_model_sends_only_what_is_read(spark, monkeypatch):
+    sent = []
+    plain = kneser_ney.per_chunk_with
+    monkeypatch.setattr(kneser_ney, "per_chunk_with", lambda chunks, told, *rest: (sent.append(set(told.columns)), plain(chunks, told, *rest))[1])
+    rows = spark.createDataFrame([(1, "a b a"), (2, "b a c"), (3, None)], "doc_id long, text string")
+    assert kneser_ney.score_texts(rows, F.col("doc_id") == 2, 3).count() == 3
+    assert sent[:2] == [{"shard", "_chunk", "level", "owner", "count"}] * 2 and "owner" not in sent[2] and len(sent) == 3
