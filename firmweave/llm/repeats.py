@@ -18,17 +18,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
 from firmweave.llm.tables import Texts, blobs, chunk_table, cuts, per_chunk, per_chunk_with, per_shard, settle, shard_of, text_shards
-from firmweave.llm.words import WHITE, join, mix, sliding_min, word_bounds, word_hashes
+from firmweave.llm.words import WHITE, join, mix, ranking, sliding_min, word_bounds, word_hashes
 
 _POS_BITS = np.uint64(18)
-_BLOCK = 1 << 17
+_BLOCK = 1 << 16
 # Runs of one anchor from which on its windows are dealt one by one; layout only.
 HOT_RUNS = 256
+# Parts in which a shard compares its pieces, one after another, each with all pieces of its anchors; layout only.
+PARTS = 16
 _NONE, _WHOLE, _PIECES, _HOT = 0, 1, 2, 3
 
 _ASK = "shard int, _chunk bigint, keys binary, runs binary, many binary, load binary"
 _ASKED = "_chunk bigint, shard int, picks binary, verdicts binary"
-_PIECE = "shard int, _chunk bigint, kind int, lengths binary, owners binary, tokens binary"
+_PIECE = "shard int, _chunk bigint, kind int, parts binary, lengths binary, owners binary, tokens binary"
 _TOLD = "_chunk bigint, kind int, shard int, told binary"
 
 
@@ -92,26 +94,27 @@ class Anchors:
         length, gram, width = windows.length, windows.gram, windows.width
         n = len(tokens.values)
         offsets = tokens.offsets
-        valid = np.ones(n, bool)
+        crossing = np.zeros(n, bool)
         ends = offsets[1:]
         for back in range(1, length):
             at = ends - back
-            valid[at[at >= offsets[:-1]]] = False
+            crossing[at[at >= offsets[:-1]]] = True
         steps = [*range(0, length - gram, gram), length - gram]
+        place, none = np.uint64((1 << int(_POS_BITS)) - 1), ~np.uint64(0)
+        places = np.arange(_BLOCK + width, dtype=np.uint64)
         parts = []
         for lo in range(0, max(0, n - length + 1), _BLOCK):
             hi = min(lo + _BLOCK, n - length + 1)
             g = tokens.grams(lo, hi + length - 1, gram)
-            key = (g >> _POS_BITS) << _POS_BITS
-            key |= np.arange(len(g), dtype=np.uint64)
-            at = (sliding_min(key, width) & np.uint64((1 << int(_POS_BITS)) - 1)).astype(np.int64)
-            ok = valid[lo:hi]
-            change = np.ones(len(at), bool)
-            change[1:] = (at[1:] != at[:-1]) | ~ok[:-1]
-            first = np.flatnonzero(ok & change)
-            change[:-1] = (at[1:] != at[:-1]) | ~ok[1:]
-            change[-1] = True
-            last = np.flatnonzero(ok & change)
+            key = g & ~place
+            key |= places[: len(g)]
+            least = sliding_min(key, width)
+            np.copyto(least, none, where=crossing[lo:hi])
+            heads = np.append(0, np.flatnonzero(least[1:] != least[:-1]) + 1)
+            tails = np.append(heads[1:], len(least)) - 1
+            some = least[heads] != none
+            first, last = heads[some], tails[some]
+            at = (least[first] & place).astype(np.int64)
 
             def whole(s, g=g):
                 out = g[s]
@@ -119,7 +122,7 @@ class Anchors:
                     out = join(out, g[s + step])
                 return out
 
-            parts.append((lo + at[first], lo + first, lo + last, g[at[first]], whole(first), whole(last)))
+            parts.append((lo + at, lo + first, lo + last, g[at], whole(first), whole(last)))
         if parts:
             pos, first, last, key, head, tail = (np.concatenate(x) for x in zip(*parts, strict=True))
         else:
@@ -135,9 +138,9 @@ class Anchors:
         shape = ((last - first).astype(np.uint64) << np.uint64(32)) | (pos - first).astype(np.uint64)
         run = mix(join(join(head, tail), shape)) if len(pos) else key
         run[run == 0] = 1
-        order = np.argsort(key, kind="stable")
-        self.key, self.pos, self.first, self.last, self.run = key[order], pos[order], first[order], last[order], run[order]
-        self.doc = np.searchsorted(offsets, self.pos, side="right") - 1
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(pos, offsets)))
+        order, self.key = ranking(key, 64)
+        self.pos, self.first, self.last, self.run, self.doc = pos[order], first[order], last[order], run[order], doc[order]
         new = np.ones(len(order), bool)
         new[1:] = self.key[1:] != self.key[:-1]
         self.heads = np.flatnonzero(new)
@@ -182,9 +185,9 @@ def _first_answer(key, table: pa.Table) -> pa.Table:
     load = np.ones(len(runs), np.int64)
     load[runs == 0] = np.concatenate(blobs(table.column("load"), np.uint32))
     keys = np.concatenate(keys)
-    order = np.argsort(keys, kind="stable")
+    order, ranked = ranking(keys.astype(np.uint64), 32)
     new = np.ones(len(keys), bool)
-    new[1:] = keys[order][1:] != keys[order][:-1]
+    new[1:] = ranked[1:] != ranked[:-1]
     heads = np.flatnonzero(new)
     counts = np.diff(np.append(heads, len(keys)))
     low, high = np.minimum.reduceat(runs[order], heads), np.maximum.reduceat(runs[order], heads)
@@ -245,7 +248,8 @@ class Candidates:
         self.class_of = np.empty(len(order), np.int64)
         self.class_of[order] = np.cumsum(new) - 1
         self.sample = order[self.heads]
-        self.shard = shard_of(deal[self.sample], n_shards)
+        self.part = shard_of(deal[self.sample], n_shards * PARTS)
+        self.shard = self.part // np.uint64(PARTS)
 
     def _prints(self, starts: np.ndarray) -> np.ndarray:
         out = np.zeros(len(starts), np.uint64)
@@ -258,12 +262,16 @@ class Candidates:
     def owners(self, weights: np.ndarray, ufunc) -> np.ndarray:
         return ufunc.reduceat(weights[self.order], self.heads) if len(self.heads) else weights[:0]
 
-    def whole_classes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of whole runs by shard, their number for each occurrence, and the heads of the sorted occurrences."""
+    def whole_classes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of whole runs by shard, the number of each occurrence's key, and the least id of each key."""
         a = self.anchors
-        key = join(a.run[self.whole], a.key[self.whole])
-        keys, inverse = np.unique(key, return_inverse=True)
-        return keys, inverse, np.argsort(inverse, kind="stable")
+        order, ranked = ranking(join(a.run[self.whole], a.key[self.whole]), 64)
+        new = np.ones(len(ranked), bool)
+        new[1:] = ranked[1:] != ranked[:-1]
+        heads = np.flatnonzero(new)
+        inverse = np.empty(len(order), np.int64)
+        inverse[order] = np.cumsum(new) - 1
+        return ranked[heads], inverse, np.minimum.reduceat(ids[a.doc[self.whole]][order], heads)
 
     def content(self, cls: np.ndarray) -> np.ndarray:
         starts, sizes = self.start[self.sample[cls]], self.size[self.sample[cls]]
@@ -275,63 +283,83 @@ def _second_ask(windows: Windows, n_shards: int, between_docs: bool):
     def ask(key, table: pa.Table, answers: pa.Table) -> pa.Table:
         texts = Texts(table)
         c = Candidates(Tokens(texts, windows.unit), windows, n_shards, answers)
-        rows = {k: [] for k in ("shard", "kind", "lengths", "owners", "tokens")}
+        rows = {k: [] for k in ("shard", "kind", "parts", "lengths", "owners", "tokens")}
         if between_docs and len(c.whole):
-            keys, inverse, order = c.whole_classes()
-            ids = texts.ids[c.anchors.doc[c.whole]][order]
-            least = np.minimum.reduceat(ids, np.searchsorted(inverse[order], np.arange(len(keys))))
+            keys, _, least = c.whole_classes(texts.ids)
             at = cuts(shard_of(keys, n_shards), n_shards)
             for s in np.flatnonzero(np.diff(at)):
                 x = slice(at[s], at[s + 1])
-                for k, v in zip(rows, (int(s), 0, b"", least[x].tobytes(), keys[x].tobytes()), strict=True):
+                for k, v in zip(rows, (int(s), 0, b"", b"", least[x].tobytes(), keys[x].tobytes()), strict=True):
                     rows[k].append(v)
         weights = texts.ids[c.doc] if between_docs else np.ones(len(c.doc), np.int64)
         owners = c.owners(weights, np.minimum if between_docs else np.add)
         at = cuts(c.shard, n_shards)
+        parts = np.diff(cuts(c.part, n_shards * PARTS)).astype(np.uint32).reshape(n_shards, PARTS)
         for s in np.flatnonzero(np.diff(at)):
             cls = np.arange(at[s], at[s + 1])
             sizes = c.size[c.sample[cls]].astype(np.uint32)
-            for k, v in zip(rows, (int(s), 1, sizes.tobytes(), owners[cls].tobytes(), c.content(cls).tobytes()), strict=True):
+            for k, v in zip(rows, (int(s), 1, parts[s].tobytes(), sizes.tobytes(), owners[cls].tobytes(), c.content(cls).tobytes()), strict=True):
                 rows[k].append(v)
         types = {"shard": pa.int32(), "kind": pa.int32()}
         out = {k: pa.array(v, types.get(k, pa.binary())) for k, v in rows.items()}
         chunk = pa.array(np.full(len(rows["shard"]), key[0].as_py()), pa.int64())
-        return pa.table({"shard": out["shard"], "_chunk": chunk, **{k: out[k] for k in ("kind", "lengths", "owners", "tokens")}})
+        return pa.table({"shard": out["shard"], "_chunk": chunk, **{k: out[k] for k in ("kind", "parts", "lengths", "owners", "tokens")}})
 
     return ask
 
 
 def _second_answer(windows: Windows, compare):
-    """``compare(tokens, lengths, owners)``: one value for each window of each piece, in order."""
+    """``compare(tokens, lengths, owners)``: for each window of each piece, in order, whether it is repeated.
+
+    Between documents: whether it has an owner less than the piece's.
+    """
     dtype = np.uint8 if windows.unit == "byte" else np.uint64
 
     def answer(key, table: pa.Table) -> pa.Table:
         kinds = np.array(table.column("kind").to_pylist())
-        owners, tokens = blobs(table.column("owners"), np.int64), table.column("tokens")
+        owners, tokens = blobs(table.column("owners"), np.int64), blobs(table.column("tokens"), dtype)
         told: list[bytes] = [b""] * len(kinds)
         rows = np.flatnonzero(kinds == 0)
         if len(rows):
-            keys = np.concatenate([np.frombuffer(tokens[int(r)].as_buffer(), np.uint64) for r in rows])
-            _, inverse = np.unique(keys, return_inverse=True)
-            least = np.full(inverse.max() + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, inverse, np.concatenate([owners[r] for r in rows]))
+            order, ranked = ranking(np.concatenate([tokens[r].view(np.uint64) for r in rows]), 64)
+            mine = np.concatenate([owners[r] for r in rows])
+            new = np.ones(len(ranked), bool)
+            new[1:] = ranked[1:] != ranked[:-1]
+            heads = np.flatnonzero(new)
+            least = np.empty(len(order), np.int64)
+            least[order] = np.repeat(np.minimum.reduceat(mine[order], heads), np.diff(np.append(heads, len(order))))
+            hit = least < mine
             end = 0
             for r in rows:
-                told[r] = least[inverse[end : end + len(owners[r])]].tobytes()
+                told[r] = np.packbits(hit[end : end + len(owners[r])]).tobytes()
                 end += len(owners[r])
         rows = np.flatnonzero(kinds == 1)
         if len(rows):
-            lengths = [np.frombuffer(table.column("lengths")[int(r)].as_buffer(), np.uint32).astype(np.int64) for r in rows]
-            values = compare(
-                np.concatenate([np.frombuffer(tokens[int(r)].as_buffer(), dtype) for r in rows]),
-                np.concatenate(lengths),
-                np.concatenate([owners[r] for r in rows]),
-            )
-            end = 0
-            for r, n in zip(rows, lengths, strict=True):
-                size = int((n - windows.length + 1).sum())
-                told[r] = values[end : end + size].tobytes()
-                end += size
+            lengths = [x.astype(np.int64) for x in blobs(table.column("lengths"), np.uint32)]
+            # Of each row and part: pieces, tokens and windows before it.
+            parts = np.stack([x.astype(np.int64) for x in blobs(table.column("parts").take(pa.array(rows)), np.uint32)])
+            pieces = np.concatenate([np.zeros((len(rows), 1), np.int64), np.cumsum(parts, axis=1)], axis=1)
+            sums = [np.concatenate([[0], np.cumsum(lengths[r])]) for r in rows]
+            words = np.stack([x[at] for x, at in zip(sums, pieces, strict=True)])
+            spans = words - (windows.length - 1) * pieces
+            hits = [np.empty(int(n), bool) for n in spans[:, -1]]
+            for part in range(PARTS):
+                some = np.flatnonzero(parts[:, part]).tolist()
+                if not some:
+                    continue
+                pick = [(i, rows[i], slice(*pieces[i, part : part + 2].tolist())) for i in some]
+                values = compare(
+                    np.concatenate([tokens[r][slice(*words[i, part : part + 2].tolist())] for i, r, _ in pick]),
+                    np.concatenate([lengths[r][x] for _, r, x in pick]),
+                    np.concatenate([owners[r][x] for _, r, x in pick]),
+                )
+                end = 0
+                for i in some:
+                    lo, hi = spans[i, part : part + 2].tolist()
+                    hits[i][lo:hi] = values[end : end + hi - lo]
+                    end += hi - lo
+            for r, hit in zip(rows, hits, strict=True):
+                told[r] = np.packbits(hit).tobytes()
         return pa.table(
             {
                 "_chunk": table.column("_chunk"),
@@ -344,37 +372,48 @@ def _second_answer(windows: Windows, compare):
     return answer
 
 
-def _cover(texts: Texts, c: Candidates, n_shards: int, told: pa.Table, between_docs: bool, dtype) -> np.ndarray:
-    """For each token, whether a repeated window covers it."""
+def _cover(texts: Texts, c: Candidates, n_shards: int, told: pa.Table, between_docs: bool) -> np.ndarray:
+    """For each token, whether a repeated window covers it.
+
+    Between documents the answers are about the least id of the chunk; all greater ones have that one before them.
+    """
     length = c.windows.length
     a = c.anchors
     n = len(c.tokens.values)
     by = {}
     for kind, shard, value in zip(told.column("kind").to_pylist(), told.column("shard").to_pylist(), told.column("told"), strict=True):
-        by[kind, shard] = value.as_buffer()
+        by[kind, shard] = np.frombuffer(value.as_buffer(), np.uint8)
+
+    def bits(kind: int, at: np.ndarray) -> np.ndarray:
+        sizes = np.diff(at)
+        return np.concatenate([np.unpackbits(by[kind, s], count=int(sizes[s])) for s in np.flatnonzero(sizes).tolist()]) > 0
+
     edge = np.zeros(n + 1, np.int32)
     whole = c.whole
     if between_docs and len(whole):
-        keys, inverse, _ = c.whole_classes()
-        at = cuts(shard_of(keys, n_shards), n_shards)
-        least = np.concatenate([np.frombuffer(by[0, s], np.int64) for s in np.flatnonzero(np.diff(at)).tolist()])
-        whole = whole[least[inverse] < texts.ids[a.doc[whole]]]
+        keys, inverse, least = c.whole_classes(texts.ids)
+        hit = bits(0, cuts(shard_of(keys, n_shards), n_shards))
+        whole = whole[hit[inverse] | (texts.ids[a.doc[whole]] > least[inverse])]
     np.add.at(edge, a.first[whole], 1)
     np.add.at(edge, a.last[whole] + length, -1)
-    at = cuts(c.shard, n_shards)
-    used = np.flatnonzero(np.diff(at)).tolist()
-    if used:
-        values = np.concatenate([np.frombuffer(by[1, s], dtype) for s in used])
+    if len(c.sample):
         spans = c.size[c.sample] - length + 1
-        begin = np.cumsum(spans) - spans
-        mine = spans[c.class_of]
+        begin = np.concatenate([[0], np.cumsum(spans)])
+        hit = bits(1, begin[cuts(c.shard, n_shards)])
+        some = np.arange(len(c.start))
+        if between_docs:
+            ids = texts.ids[c.doc]
+            later = ids > c.owners(ids, np.minimum)[c.class_of]
+            np.add.at(edge, c.start[later], 1)
+            np.add.at(edge, c.start[later] + c.size[later], -1)
+            some = some[~later]
+        mine = spans[c.class_of[some]]
         inner = np.arange(mine.sum()) - np.repeat(np.cumsum(mine) - mine, mine)
-        value = values[np.repeat(begin[c.class_of], mine) + inner]
-        start = np.repeat(c.start, mine) + inner
-        hit = value < np.repeat(texts.ids[c.doc], mine) if between_docs else value > 0
-        np.add.at(edge, start[hit], 1)
-        np.add.at(edge, start[hit] + length, -1)
-    return np.cumsum(edge[:-1]) > 0
+        start = (np.repeat(c.start[some], mine) + inner)[hit[np.repeat(begin[c.class_of[some]], mine) + inner]]
+        begins = np.append(True, start[1:] != start[:-1] + 1)[: len(start)]
+        np.add.at(edge, start[begins], 1)
+        np.add.at(edge, start[np.append(begins[1:], True)[: len(start)]] + length, -1)
+    return np.cumsum(edge[:-1], dtype=np.int32, out=edge[:-1]) > 0
 
 
 def remove_windows(docs: DataFrame, windows: Windows, compare, between_docs: bool, render, out: StructType, name: str) -> DataFrame:
@@ -390,7 +429,6 @@ def remove_windows(docs: DataFrame, windows: Windows, compare, between_docs: boo
     first = settle(per_shard(asked, _first_answer, _ASKED), f"{name}_shared")
     pieces = per_chunk_with(narrow, first, _second_ask(windows, n, between_docs), _PIECE)
     second = per_shard(pieces, _second_answer(windows, compare), _TOLD)
-    dtype = np.int64 if between_docs else np.uint8
     answers = first.selectExpr("_chunk", "-1 AS kind", "shard", "picks", "verdicts", "CAST(NULL AS BINARY) AS told").unionByName(
         second.selectExpr("_chunk", "kind", "shard", "CAST(NULL AS BINARY) AS picks", "CAST(NULL AS BINARY) AS verdicts", "told")
     )
@@ -401,7 +439,7 @@ def remove_windows(docs: DataFrame, windows: Windows, compare, between_docs: boo
         tokens = Tokens(texts, windows.unit)
         kind = np.array(told.column("kind").to_pylist(), dtype=np.int64)
         c = Candidates(tokens, windows, n, told.take(pa.array(np.flatnonzero(kind < 0))))
-        covered = _cover(texts, c, n, told.take(pa.array(np.flatnonzero(kind >= 0))), between_docs, dtype)
+        covered = _cover(texts, c, n, told.take(pa.array(np.flatnonzero(kind >= 0))), between_docs)
         del c
         made = render(tokens, covered)
         columns = {"_id": table.column("_id"), **dict(zip(out.names, made, strict=True)), "_rest": table.column("_rest")}

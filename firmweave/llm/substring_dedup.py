@@ -102,7 +102,7 @@ def _places(length: int):
         out: list[int] = []
         for k in range(len(lengths)):
             out += automaton.ends(numbers[cut[k] : cut[k + 1]], length)[length - 1 :]
-        return (np.array(out, np.int64) > 1).astype(np.uint8)
+        return np.array(out, np.int64) > 1
 
     return compare
 

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from firmweave.llm.repeats import Tokens, Windows, remove_windows, spans_array
+from firmweave.llm.words import ranking
 
 _OUT = StructType(
     [
@@ -27,77 +29,82 @@ _OUT = StructType(
 )
 
 
-def bucket_pointers(keys: np.ndarray) -> np.ndarray:
-    """Bucket of each suffix: the index of the bucket's last suffix in sorted order."""
-    order = np.argsort(keys, kind="stable")
-    ranked = keys[order]
-    last = np.flatnonzero(np.append(ranked[1:] != ranked[:-1], True))
-    sizes = np.diff(np.append(-1, last))
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.repeat(last, sizes)
+def bucket_pointers(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Bucket of each suffix, by keys below ``2 ** bits``: the index of the bucket's last suffix in sorted order."""
+    order, ranked = ranking(keys, bits)
+    last = np.flatnonzero(np.append(ranked[1:] != ranked[:-1], True)[: len(ranked)])
+    out = np.empty(len(keys), np.int32)
+    out[order] = np.repeat(last, np.diff(np.append(-1, last)))
     return out
 
 
-def refine(pointers: np.ndarray, suffixes: np.ndarray, offset: int) -> np.ndarray:
-    """Split each bucket of ``suffixes`` by the pointers ``offset`` later; buckets of one suffix stay as they are.
+def refine(pointers: np.ndarray, later: np.ndarray) -> np.ndarray:
+    """Split the buckets of some suffixes by the pointers ``later``; buckets of one of them stay as they are.
 
     The parts of a bucket get pointers within its own range, so no pointer meets one of another bucket.
     """
     out = pointers.copy()
-    mine = pointers[suffixes]
-    active = suffixes[np.bincount(mine, minlength=len(pointers))[mine] > 1]
+    active = np.flatnonzero(np.bincount(pointers)[pointers] > 1)
     if not len(active):
         return out
-    later = np.minimum(active + offset, len(pointers) - 1)
-    key = (pointers[active].astype(np.uint64) << np.uint64(32)) | pointers[later].astype(np.uint64)
-    order = np.argsort(key, kind="stable")
-    ranked = key[order]
-    bucket = ranked >> np.uint64(32)
+    mine = pointers[active]
+    half = max(int(mine.max()), int(later.max())).bit_length()
+    key = mine.astype(np.uint64)
+    key <<= np.uint64(half)
+    key |= later[active].astype(np.uint64)
+    order, ranked = ranking(key, 2 * half)
+    bucket = ranked >> np.uint64(half)
     part_last = np.flatnonzero(np.append(ranked[1:] != ranked[:-1], True))
     bucket_last = np.flatnonzero(np.append(bucket[1:] != bucket[:-1], True))
-    part_end = np.repeat(part_last, np.diff(np.append(-1, part_last)))
     bucket_end = np.repeat(bucket_last, np.diff(np.append(-1, bucket_last)))
-    out[active[order]] = pointers[active[order]] - (bucket_end - part_end)
+    back = np.repeat(bucket_end[part_last] - part_last, np.diff(np.append(-1, part_last)))
+    out[active[order]] -= back.astype(np.int32)
     return out
 
 
 def window_classes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Equal numbers for equal windows ``data[start : start + length]``, exactly. Needs a length of 8 or more."""
+    """Equal numbers for equal windows ``data[start : start + length]``, exactly. Needs a length of 8 or more.
+
+    Buckets of 5 bytes, which sort in one machine word with their places; all of them are refined while that is less work than
+    refining ``starts`` alone once more often.
+    """
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    eight = np.ndarray((len(data),), dtype="<u8", buffer=padded.data, strides=(1,)).copy()
-    pointers = bucket_pointers(eight)
-    everything = np.arange(len(data))
-    width = 8
-    while width * 2 < length:
-        pointers = refine(pointers, everything, width)
+    five = np.ndarray((len(data),), dtype=">u8", buffer=padded.data, strides=(1,)).astype(np.uint64)
+    five >>= np.uint64(24)
+    pointers = bucket_pointers(five, 40)
+    width = 5
+    while width * 5 < length:
+        pointers = refine(pointers, np.append(pointers[width:], np.repeat(pointers[-1:], min(width, len(data)))))
         width *= 2
-    if width < length:
-        pointers = refine(pointers, starts, length - width)
-    return pointers[starts]
+    classes = pointers[starts]
+    for offset in [*range(width, length - width, width), length - width]:
+        classes = refine(classes, pointers[starts + offset])
+    return classes
 
 
-def _earliest(length: int):
+def _earlier(length: int):
     def compare(tokens: np.ndarray, lengths: np.ndarray, owners: np.ndarray) -> np.ndarray:
         spans = lengths - length + 1
         begin = np.cumsum(lengths) - lengths
-        inner = np.arange(spans.sum()) - np.repeat(np.cumsum(spans) - spans, spans)
-        starts = np.repeat(begin, spans) + inner
+        starts = np.arange(spans.sum()) + np.repeat(begin - (np.cumsum(spans) - spans), spans)
         classes = window_classes(tokens, starts, length)
+        owner = np.repeat(owners, spans)
         least = np.full(len(tokens), np.iinfo(np.int64).max)
-        np.minimum.at(least, classes, np.repeat(owners, spans))
-        return least[classes]
+        np.minimum.at(least, classes, owner)
+        return least[classes] < owner
 
     return compare
 
 
 def _render(tokens: Tokens, covered: np.ndarray):
     offsets = tokens.offsets
-    kept = tokens.values[~covered]
-    at = np.concatenate([[0], np.cumsum(~covered, dtype=np.int64)])[offsets]
-    removed = np.diff(offsets) - np.diff(at)
     spans, n = spans_array(covered, offsets)
-    texts = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(kept.tobytes())])
-    return texts.cast(pa.binary()), pa.array(np.diff(offsets)), pa.array(removed), pa.array(n, pa.int64()), spans
+    gone = np.cumsum(pc.subtract(spans.values.field(1), spans.values.field(0)).to_numpy())
+    before = np.append(0, gone)[spans.offsets.to_numpy()]
+    kept = tokens.values[~covered]
+    at = offsets - before
+    texts = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(at.astype(np.int64).tobytes()), pa.py_buffer(kept)])
+    return texts.cast(pa.binary()), pa.array(np.diff(offsets)), pa.array(np.diff(before)), pa.array(n, pa.int64()), spans
 
 
 def _render_characters(tokens: Tokens, covered: np.ndarray):
@@ -123,7 +130,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, gram: int = 24, who
     if gram < 8 or length < gram:
         raise ValueError("8 <= gram <= length is needed")
     render = _render_characters if whole_characters else _render
-    found = remove_windows(docs, Windows("byte", length, gram), _earliest(length), True, render, _OUT, "suffix_array")
+    found = remove_windows(docs, Windows("byte", length, gram), _earlier(length), True, render, _OUT, "suffix_array")
     added = _OUT.names
     others = [F.col("_rest").getField(c).alias(c) for c in docs.columns if c not in ("doc_id", "text", *added)]
     return found.select(F.col("_id").alias("doc_id"), *others, *added)

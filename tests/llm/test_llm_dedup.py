@@ -83,6 +83,44 @@ def test_window_classes_equal_strings():
         assert len(set(zip(got, strings, strict=True))) == len(set(got)) == len(set(strings)), length
 
 
+def test_shards_compare_in_parts():
+    """A shard never holds all its pieces for sorting at once, equal windows meet, and answers are bits."""
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    passages = [plain.prose(rng, 9) for _ in range(60)]
+    texts = [" ".join(f"{rng.choice(passages)} {plain.prose(rng, 1)}" for _ in range(6)) for _ in range(80)]
+    half = len(texts) // 2
+    windows = repeats.Windows("byte", 50, 24)
+    tabs = [pa.table({"_id": pa.array(range(lo, lo + half), pa.int64()), "_text": texts[lo : lo + half]}) for lo in (0, half)]
+    asked = pa.concat_tables([repeats._first_ask(windows, 1, True)((pa.scalar(i),), t) for i, t in enumerate(tabs)])
+    first = repeats._first_answer((pa.scalar(0),), asked)
+    chosen = [first.filter(pa.array([c == i for c in first.column("_chunk").to_pylist()])) for i in range(2)]
+    pieces = pa.concat_tables([repeats._second_ask(windows, 1, True)((pa.scalar(i),), t, c) for i, (t, c) in enumerate(zip(tabs, chosen, strict=True))])
+    seen = []
+
+    def compare(tokens, lengths, owners):
+        cut = np.cumsum(lengths) - lengths
+        seen.append([tokens[b + i : b + i + 50].tobytes() for b, n in zip(cut, lengths, strict=True) for i in range(n - 49)])
+        return np.zeros(len(seen[-1]), np.uint8)
+
+    told = repeats._second_answer(windows, compare)((pa.scalar(0),), pieces)
+    everything = [w for part in seen for w in part]
+    assert len(everything) > 5000 and max(map(len, seen)) < len(everything) / 4
+    assert sum(len(set(part)) for part in seen) == len(set(everything))
+    assert sum(map(len, told.column("told").to_pylist())) < len(everything) / 4
+
+
+def test_classes_refine_beyond_one_word():
+    """Keys of two pointers and a place that no machine word holds are sorted whole."""
+    rng = np.random.default_rng(3)
+    pointers = rng.integers(0, 1 << 23, 300_000).astype(np.int32)
+    later = rng.integers(0, 3, 300_000).astype(np.int32) << 22
+    pointers[::2] = pointers[1::2]
+    parts = suffix_array_dedup.refine(suffix_array_dedup.bucket_pointers(pointers.astype(np.uint64), 23), later)
+    assert len(set(parts.tolist())) == len(set(zip(pointers.tolist(), later.tolist(), strict=True)))
+
+
 def test_suffix_automaton_counts():
     rng = random.Random(4)
     texts = [[rng.randint(0, 2) for _ in range(rng.randint(0, 30))] for _ in range(12)]
