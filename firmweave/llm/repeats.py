@@ -4,8 +4,9 @@ Tokens are bytes or words. In each window the q-gram with the least fingerprint
 equal anchors at equal offsets, so only the texts round anchors that several places share can hold repeated windows.
 Neighbouring windows with one anchor form a *run*. Shards of anchors tell (``_first_answer``) which anchors are shared
 and, of these, which have the same text all round (their runs are equal as a whole). All others are sent as *pieces*,
-with their tokens, to be compared in full by a method of the operator. Anchors with very many different runs are cut into
-pieces of one window each, dealt by their own content, so no shard gets a whole hot anchor.
+with their tokens, to be compared in full by a method of the operator, part by part of a shard: a part has all pieces of its
+anchors, and answers are one bit a window. Anchors with very many different runs are cut into pieces of one window each, dealt
+by their own content, so no shard gets a whole hot anchor.
 """
 
 from __future__ import annotations

@@ -1,9 +1,10 @@
 """Suffix-array dedup: bytes that repeat, over 50 bytes or more, what an earlier document holds.
 
 Suffixes are sorted only as far as the window length, by bucket-pointer refinement: q-gram buckets first, then each bucket
-is refined by the bucket pointers of its suffixes at a later offset, and the pointers so found serve the next refinement.
+is refined by the bucket pointers of its suffixes at a later offset: of all suffixes at first, and the pointers so found serve
+the next refinement; then of the windows' starts alone, offset by offset up to the window length.
 Initial buckets are built over sampled suffixes (one in about fourteen; the rarest q-gram of each window, so none is missed);
-a bucket of one document is finished at once. What is left is refined in full, shard by shard (``repeats``).
+a bucket of one document is finished at once. What is left is refined in full, shard by shard and part by part (``repeats``).
 """
 
 from __future__ import annotations

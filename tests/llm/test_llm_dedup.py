@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import sys
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
@@ -83,20 +84,27 @@ def test_window_classes_equal_strings():
         assert len(set(zip(got, strings, strict=True))) == len(set(got)) == len(set(strings)), length
 
 
-def test_shards_compare_in_parts():
-    """A shard never holds all its pieces for sorting at once, equal windows meet, and answers are bits."""
+def shard_pieces(windows, passages: int, docs: int):
+    """What two chunks of documents put together from shared passages send to one shard."""
     import pyarrow as pa
 
     rng = random.Random(8)
-    passages = [plain.prose(rng, 9) for _ in range(60)]
-    texts = [" ".join(f"{rng.choice(passages)} {plain.prose(rng, 1)}" for _ in range(6)) for _ in range(80)]
+    shared = [plain.prose(rng, 9) for _ in range(passages)]
+    texts = [" ".join(f"{rng.choice(shared)} {plain.prose(rng, 1)}" for _ in range(6)) for _ in range(docs)]
     half = len(texts) // 2
-    windows = repeats.Windows("byte", 50, 24)
     tabs = [pa.table({"_id": pa.array(range(lo, lo + half), pa.int64()), "_text": texts[lo : lo + half]}) for lo in (0, half)]
     asked = pa.concat_tables([repeats._first_ask(windows, 1, True)((pa.scalar(i),), t) for i, t in enumerate(tabs)])
     first = repeats._first_answer((pa.scalar(0),), asked)
     chosen = [first.filter(pa.array([c == i for c in first.column("_chunk").to_pylist()])) for i in range(2)]
-    pieces = pa.concat_tables([repeats._second_ask(windows, 1, True)((pa.scalar(i),), t, c) for i, (t, c) in enumerate(zip(tabs, chosen, strict=True))])
+    return pa.concat_tables([repeats._second_ask(windows, 1, True)((pa.scalar(i),), t, c) for i, (t, c) in enumerate(zip(tabs, chosen, strict=True))])
+
+
+def test_shards_compare_in_parts():
+    """A shard never holds all its pieces for sorting at once, equal windows meet, and answers are bits."""
+    import pyarrow as pa
+
+    windows = repeats.Windows("byte", 50, 24)
+    pieces = shard_pieces(windows, 60, 80)
     seen = []
 
     def compare(tokens, lengths, owners):
@@ -111,6 +119,23 @@ def test_shards_compare_in_parts():
     assert sum(map(len, told.column("told").to_pylist())) < len(everything) / 4
 
 
+def test_shards_sort_in_little_memory():
+    """Sorting a shard's pieces takes a few times their bytes, not over 100 times."""
+    import pyarrow as pa
+
+    windows = repeats.Windows("byte", 50, 24)
+    pieces = shard_pieces(windows, 4000, 4000)
+    sent = sum(map(len, pieces.column("tokens").to_pylist()))
+    answer = repeats._second_answer(windows, suffix_array_dedup._earlier(50))
+    tracemalloc.start()
+    try:
+        answer((pa.scalar(0),), pieces)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sent > 1_000_000 and most < 12 * sent, (sent, most)
+
+
 def test_classes_refine_beyond_one_word():
     """Keys of two pointers and a place that no machine word holds are sorted whole."""
     rng = np.random.default_rng(3)
