@@ -236,3 +236,26 @@ def test_bad_matches_are_set_aside(spark, tables):
     good, bad = quality.split_valid_matches(new, crawl, registry)
     assert sorted(r.match_reasoning for r in good.collect()) == ["b", "g"]
     assert sorted(r.match_reasoning for r in bad.collect()) == ["c", "d", "e", "f"]
+
+
+def test_inputs_and_matched_sites_are_joined_by_shuffle(spark, tmp_path):
+    """Small files may hold more rows than the driver can send to every task, as at 6 GB."""
+    from checks.fixtures import load
+
+    parts = [(i, f"part {i}", "Brand#1", "SMALL") for i in range(40)]
+    customers = [(i, i % 25, "FURNITURE") for i in range(30)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame(customers, "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    registry, crawl, matches = (load(spark, str(tmp_path), name) for name in ("registry_fx", "crawl_fx", "matches_fx"))
+    sites = match.named_sites(crawl, matches)
+    given = spark.createDataFrame([(i + 1, f"part {i}") for i in range(9)], "id long, scraped_company_name string")
+    taken = spark.createDataFrame([(1,), (None,), (4,)], "cc_id long")
+    left = match.unmatched(given, taken)
+    for df in (registry, matches, sites, left):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan, plan
+    assert registry.count() == 30
+    wanted = [i for i in range(30) if i % 3 == 0 or 2 <= (i + 1) % 10 <= 6]
+    assert sorted(r.cc_id - 1 for r in matches.select("cc_id").collect()) == wanted
+    assert sorted(r.id - 1 for r in sites.select("id").collect()) == [i for i in range(40) if i % 10 and i not in wanted]
+    assert sorted(r.id for r in left.collect()) == [2, 3, 5, 6, 7, 8, 9]

@@ -145,3 +145,22 @@ def test_names_of_the_same_characters_meet_once(spark, monkeypatch):
     assert got == want
     assert rows == [len({"".join(sorted(n)) for n in sites}), len({"".join(sorted(n)) for n in register})]
     assert rows[0] < len(sites) and rows[1] < len(register)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_seeds_send_only_counted_tokens_to_every_task(spark, monkeypatch, few):
+    """Sites ask at many places each, so neither they nor the register names may be broadcast, however small their files are."""
+    sites = spark.createDataFrame([(f"{a} stone {b}",) for a in ("grey", "red") for b in ("works", "yard")], "name string")
+    register = spark.createDataFrame([("grey stone work",), ("red stone yards",), ("blue lamp",)], "name string")
+    measure = Measure("ratio", 0.6)
+    expected = sorted(map(tuple, top_join.seed_pairs(sites, register, measure, 1).collect()))
+    monkeypatch.setattr(top_join, "FEW_ROWS", few)
+    pairs = top_join.seed_pairs(sites, register, measure, 1)
+    plan = plan_of(pairs)
+    assert plan.count("BroadcastExchange") == (1 if few else 0), plan
+    assert "SortMergeJoin" in plan
+    assert sorted(map(tuple, pairs.collect())) == expected and expected
